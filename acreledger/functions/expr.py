@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
+RATIO = "decimal(22,6)"
 
 
 def rational(num: str | Column, denom: str | Column) -> Column:
@@ -72,11 +73,15 @@ def exact_mean(column: str | Column) -> Column:
 
 
 def ratio(a: str | Column, b: str | Column, digits: int | None = None) -> Column:
-    """``a / b`` with null for a zero divisor, optionally rounded half up."""
+    """``a / b`` with null for a zero divisor, optionally rounded half up.
+
+    A rounded ratio is taken on decimals wide enough that ties are seen exactly.
+    """
     x = F.col(a) if isinstance(a, str) else a
     y = F.col(b) if isinstance(b, str) else b
-    value = F.try_divide(x, y)
-    return value if digits is None else F.round(value, digits)
+    if digits is None:
+        return F.try_divide(x, y)
+    return F.round(F.try_divide(x.cast(RATIO), y.cast(RATIO)), digits)
 
 
 def numeric_prefix(column: str | Column) -> Column:

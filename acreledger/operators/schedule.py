@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import ratio
+
 HALF_YEAR_STRAIGHT = "MO S/L"
 DECLINING = "HY 200DB"
 STOP_AT = 0.5
@@ -12,9 +14,8 @@ STOP_AT = 0.5
 
 def _step(basis: Column, term: Column, method: Column) -> Column:
     """Amount per row of the methods that take the same amount every time."""
-    return F.when(method == HALF_YEAR_STRAIGHT, F.try_divide(basis, term * 2)).otherwise(
-        F.round(F.try_divide(basis, term), 2)
-    )
+    per_year = ratio(basis, term, 2).cast("double")
+    return F.when(method == HALF_YEAR_STRAIGHT, F.try_divide(basis, term * 2)).otherwise(per_year)
 
 
 def _row_bound(basis: Column, term: Column, step: Column, method: Column) -> Column:

@@ -114,19 +114,19 @@ def flexible_lease(
         .join(price, "crop", "left")
         .join(terms, ["operation_id", "crop"])
     )
-    d = {c: F.col(c).cast("double") for c in ("acres", "base_rent", "amt", "bu_per_acre", "price")}
-    share, cap = F.col("Percentage") / 100, F.col("Max")
+    # decimals of fixed width: products stay exact, so rounding sees true ties
+    acres = F.col("acres").cast("decimal(12,2)")
+    base = F.col("base_rent").cast("decimal(14,0)")
+    cap = F.col("Max").cast("decimal(14,2)")
+    revenue = F.round(F.col("bu_per_acre").cast("double") * F.col("price"), 2).cast("decimal(14,2)")
     steps = (
-        rent.withColumn("rev_pct", share)
-        .withColumn("revenue", F.round(d["bu_per_acre"] * d["price"], 2))
-        .withColumn("capped_total", F.round(cap * d["acres"], 2))
-        .withColumn("capped_bonus", F.round(F.col("capped_total") - d["base_rent"] * d["acres"], 2))
-        .withColumn(
-            "raw_bonus",
-            F.round(F.col("revenue") * d["acres"] * F.col("rev_pct") - d["base_rent"] * d["acres"], 2),
-        )
+        rent.withColumn("rev_pct", (F.col("Percentage") / 100).cast("decimal(7,4)"))
+        .withColumn("revenue", revenue)
+        .withColumn("capped_total", F.round(cap * acres, 2))
+        .withColumn("capped_bonus", F.round(F.col("capped_total") - base * acres, 2))
+        .withColumn("raw_bonus", F.round(F.col("revenue") * acres * F.col("rev_pct") - base * acres, 2))
         .withColumn("bonus", F.least("raw_bonus", "capped_bonus"))
-        .withColumn("adj_rent", F.round(F.try_divide(F.col("bonus") + d["amt"], d["acres"]), 2))
+        .withColumn("adj_rent", ratio(F.col("bonus") + F.col("amt"), acres, 2))
     )
     return steps.select(
         F.col("crop").alias("Crop"),

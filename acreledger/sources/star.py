@@ -62,7 +62,8 @@ class StarLedger:
             )
 
         asset, empty = F.lit("ASSET"), F.lit("")
-        root = rows(self.spark.range(1), F.lit("root"), F.lit("Root Account"), F.lit("ROOT"), null, empty)
+        top = self.spark.sql("select * from values ('root', 'Root Account') as top(guid, name)")
+        root = rows(top, F.col("guid"), F.col("name"), F.lit("ROOT"), null, empty)
         region = rows(self.star("region"), _key("r", "r_regionkey"), F.col("r_name"), asset, F.lit("root"), empty)
         nation = rows(
             self.star("nation"), _key("n", "n_nationkey"), F.col("n_name"), asset, _key("r", "n_regionkey"), empty

@@ -74,6 +74,11 @@ def table_query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def stamp(column: str) -> Column:
+    """Timestamp as text with microseconds."""
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(column)
+
+
 def count_rows() -> Column:
     return F.count(F.lit(1)).alias("row_count")
 
@@ -305,7 +310,7 @@ def share_value(ledger):
     """R11 SC8 A8"""
     sheet = position.balance_sheet(ledger, YEAR, PRICE_YEAR)
     discounts = discount_table(sheet.sparkSession, DISCOUNTS)
-    return position.share_values(sheet, discounts, SHARES).withColumn("share_val", F.round("share_val", 4))
+    return position.share_values(sheet, discounts, SHARES).withColumn("share_val", F.round("share_val", 6))
 
 
 @query
@@ -341,14 +346,14 @@ def stock_value_detail(ledger):
 def price_list(ledger):
     """R2 J16"""
     return prices.commodity_prices(ledger, PRICE_YEAR).select(
-        F.col("guid"), "commodity_guid", "fullname", F.col("date"), "type", "value_num", "value_denom"
+        F.col("guid"), "commodity_guid", "fullname", stamp("date"), "type", "value_num", "value_denom"
     )
 
 
 @query
 def price_series(ledger):
     """R35 A3 None"""
-    return prices.commodity_bids(ledger, None, PRICE_YEAR).select("crop", "date", "cash")
+    return prices.commodity_bids(ledger, None, PRICE_YEAR).select("crop", stamp("date"), "cash")
 
 
 @query
@@ -367,13 +372,13 @@ def price_last(ledger):
 def price_nearest(ledger):
     """Every ask with its nearest bid"""
     asks = ledger.prices.where(F.col("type") == "ask").select("guid", "commodity_guid", "date")
-    return prices.nearest_bids(ledger, asks)
+    return prices.nearest_bids(ledger, asks).select("guid", "commodity_guid", stamp("near_time"), "near_cash")
 
 
 @query
 def price_nearest_one(ledger):
     """R3 J14"""
-    return prices.nearest_commodity_bid(ledger, "click", "2024-01-15 12:00:00")
+    return prices.nearest_commodity_bid(ledger, "click", "2024-01-15 12:00:00").select(stamp("near_time"), "cash")
 
 
 @query
@@ -512,7 +517,7 @@ def depreciation_rows(ledger):
     """U1 G1 RS5 S9"""
     assets = depreciation.depreciable_assets(ledger, CROP_WORDS, LEVEL)
     return schedule.depreciation_rows(assets.drop("description")).select(
-        "guid", "row_number", "post_date", F.round("amt", 2).alias("amt"), "description", "depreciation_code"
+        "guid", "row_number", "post_date", F.round("amt", 6).alias("amt"), "description", "depreciation_code"
     )
 
 
@@ -521,7 +526,7 @@ def depreciation_year(ledger):
     """G2 R5"""
     return depreciation.depreciation_transactions(ledger, YEAR, CROP_WORDS, LEVEL).select(
         "account_code", "account_type", "src_guid", "src_name", "finpack_account",
-        F.to_date("post_date").alias("post_date"), F.round("amt", 2).alias("amt"), "quantity",
+        F.to_date("post_date").alias("post_date"), F.round("amt", 6).alias("amt"), "quantity",
     )
 
 
@@ -608,7 +613,7 @@ def production_vs_machine(ledger):
 def note_rows(ledger):
     """SC4 S8 F6"""
     picked = F.col("title").ilike("push-ups%") & ~F.col("body").ilike("50")
-    return notes.note_rows(ledger.notes, picked).select("note_id", "title", "body", "created_date")
+    return notes.note_rows(ledger.notes, picked).select("note_id", "title", "body", stamp("created_date"))
 
 
 @query
@@ -839,11 +844,11 @@ def stream_ingest(spark, folder):
     """ST1-ST5 R32 SC5 SC10 SK3: load files written from line items, ingested as a stream"""
     ledger = star_ledger(spark, folder)
     work = new_work_dir(spark, "ingest")
-    stamp = lambda c: F.date_format(c, files.LOAD_TIME_FORMAT)
+    load_time = lambda c: F.date_format(c, files.LOAD_TIME_FORMAT)
     drop = ledger.loads.select(
         F.col("ticket_number").alias(" Ticket Number"),
-        stamp("tare_time").alias(" Tare Time Stamp"),
-        stamp("gross_time").alias(" Gross Time Stamp"),
+        load_time("tare_time").alias(" Tare Time Stamp"),
+        load_time("gross_time").alias(" Gross Time Stamp"),
         F.col("crop_description").alias(" Crop Description"),
         F.col("net_units").alias(" Net Units"),
     )
