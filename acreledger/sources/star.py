@@ -37,9 +37,12 @@ class StarLedger:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._star: dict[str, DataFrame] = {}
 
     def star(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._star:
+            self._star[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._star[name]
 
     def __call__(self, name: str) -> DataFrame:
         build = getattr(self, f"_{name}", None)
@@ -137,7 +140,8 @@ class StarLedger:
         lines = (
             self._lines()
             .withColumn("tax_c", F.round(F.col("l_extendedprice") * F.col("l_tax") * 100).cast("bigint"))
-            .join(orders, "l_orderkey")
+            # orders grow with the line items, so a broadcast would not last
+            .join(orders.hint("shuffle_hash"), "l_orderkey")
         )
 
         def leg(name: str, account: Column, value: Column, quantity: Column) -> Column:
@@ -423,6 +427,16 @@ class StarLedger:
         )
 
 
+_OPEN: dict[tuple[str, str], Ledger] = {}
+
+
 def star_ledger(spark: SparkSession, folder: str) -> Ledger:
-    """A lazy :class:`Ledger` over the star tables in ``folder``."""
-    return Ledger(StarLedger(spark, folder))
+    """A lazy :class:`Ledger` over the star tables in ``folder``.
+
+    Kept per application and folder, so schemas are read and the account tree is
+    walked once, however many reports run.  Only plans are kept, no rows.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _OPEN:
+        _OPEN[key] = Ledger(StarLedger(spark, folder))
+    return _OPEN[key]
