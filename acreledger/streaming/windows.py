@@ -54,6 +54,7 @@ def stream_documents(spark: SparkSession, folder: str, prefix: str, suffix: str
     """
     files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", f"{prefix}*{suffix}")
         .load(folder)
         .select("path", "modificationTime")
