@@ -113,9 +113,12 @@ def invoice_heads(ledger, years: int | Sequence[int] | None = None) -> DataFrame
     )
 
 
-def invoice_lines(ledger, years: int | Sequence[int] | None = None) -> DataFrame:
+def invoice_lines(
+    ledger, years: int | Sequence[int] | None = None, heads: DataFrame | None = None
+) -> DataFrame:
     """U-1/R18: all bill and invoice lines, 34 columns, ``post_txn`` as ``tx_guid``.
 
+    ``heads`` limits the lines to some rows of :func:`invoice_heads`.
     The union of bills and invoices is distinct without a shuffle: entry guids are
     primary keys, the kind separates both halves, and the attributes joined in are
     distinct per head.
@@ -125,7 +128,7 @@ def invoice_lines(ledger, years: int | Sequence[int] | None = None) -> DataFrame
         F.col("guid").alias("account_guid"), F.col("code").alias("account_code"), F.col("name").alias("account_name")
     )
     return (
-        lines.join(invoice_heads(ledger, years), ["inv_guid", "inv_type"])
+        lines.join(invoice_heads(ledger, years) if heads is None else heads, ["inv_guid", "inv_type"])
         .join(accounts, "account_guid")
         .withColumn("inv_acct", F.col("account_guid"))
         .withColumn("entry_type", F.col("quantity_type"))
@@ -179,9 +182,11 @@ def contract_status(
     Invoices without a due date or a lot drop out, as null group keys do.  An
     invoice without payment is not fulfilled.
     """
+    # only invoice ids with a head in the year matter, whatever year their other heads have
+    heads = invoice_heads(ledger).where(F.col("inv_type") == "INVOICE")
+    wanted = ledger.invoices.where(in_year("date_posted", year)).select(F.col("id").alias("inv_id"))
     lines = (
-        invoice_lines(ledger)
-        .where(F.col("inv_type") == "INVOICE")
+        invoice_lines(ledger, heads=heads.join(wanted.distinct(), "inv_id", "left_semi"))
         .withColumn("amount", (F.col("amt") - F.col("disc_amt")).cast("decimal(24,6)"))
         .withColumn("in_year", F.coalesce(in_year("date_posted", year), F.lit(False)))
     )

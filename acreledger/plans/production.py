@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import capped_width, icon_file, matches, ratio, sum0
@@ -89,6 +89,39 @@ def lease_terms(lines: DataFrame, crops: list[str]) -> DataFrame:
     return melt(parsed, ["operation_id", "Max"], crops, "crop", "Percentage")
 
 
+def _fields(
+    ledger, lines: DataFrame, crops: list[str], harvest_codes: Sequence[str], rent_codes: Sequence[str]
+) -> DataFrame:
+    """Rented acres with the field's bushels per acre, both from one aggregate.
+
+    Equal to joining :func:`rented_acres` with :func:`production`: the windows run
+    over the summed rows, one per owner of a field.
+    """
+    is_rent = F.col("account_code").isin(*rent_codes) & (F.col("quantity_type") == RENT_ACTION)
+    is_harvest = F.col("account_code").isin(*harvest_codes)
+    field = ["crop", "operation", "operation_id"]
+    summed = (
+        _lines_with_crop(ledger, lines.where(is_rent | is_harvest), crops)
+        .na.drop("any", subset=field)
+        .groupBy(*field, "org_name")
+        .agg(
+            F.count(F.when(is_rent, F.lit(1))).alias("rents"),
+            F.round(F.sum(F.when(is_rent, F.col("quantity"))), 2).alias("acres"),
+            F.round(F.sum(F.when(is_rent, F.col("amt"))), 2).alias("amt"),
+            F.sum(F.when(is_harvest, F.col("quantity"))).alias("bushels"),
+        )
+        .withColumn("acres", F.when(F.col("org_name").isNotNull(), F.col("acres")))
+    )
+    whole = Window.partitionBy(*field)
+    return (
+        summed.withColumn("total_bushels", F.round(F.sum("bushels").over(whole), 2))
+        .withColumn("bu_per_acre", ratio("total_bushels", F.sum("acres").over(whole), 2))
+        .where((F.col("rents") > 0) & F.col("org_name").isNotNull())
+        .withColumn("base_rent", ratio("amt", "acres", 0))
+        .drop("rents", "bushels")
+    )
+
+
 def flexible_lease(
     ledger,
     year: int | None = None,
@@ -100,17 +133,15 @@ def flexible_lease(
     """Bonus rent per field from yield, mean price, share and rent cap.
 
     The bonus is the smaller of the raw and the capped bonus, ignoring nulls.
-    Invoice lines are one DataFrame used by all branches; equal exchanges are
-    reused in the plan.
+    Rent and harvest come from one pass over the invoice lines, the lease terms
+    from a second one.
     """
     crops = crops or CROPS
     lines = invoice_lines(ledger, year)
     terms = lease_terms(lines, crops)
-    grown = production(ledger, year, True, crops, harvest_codes, rent_codes, lines).drop("acres")
     price = commodity_bids(ledger, "mean", price_year or year).select("crop", F.col("cash").alias("price"))
     rent = (
-        rented_acres(ledger, year, crops, rent_codes, lines)
-        .join(grown, ["crop", "operation", "operation_id"], "left")
+        _fields(ledger, lines, crops, harvest_codes, rent_codes)
         .join(price, "crop", "left")
         .join(terms, ["operation_id", "crop"])
     )

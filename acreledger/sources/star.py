@@ -136,12 +136,15 @@ class StarLedger:
         return line.withColumn("line_key", F.concat_ws("|", *[_text(c) for c in unique]))
 
     def _splits(self) -> DataFrame:
-        orders = self.star("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+        # joined on the transaction guid: the legs come out partitioned by it, so later
+        # joins on the transaction find them in place
+        orders = self.star("orders").select(_key("t", "o_orderkey").alias("tx_guid"), "o_custkey")
         lines = (
             self._lines()
+            .withColumn("tx_guid", _key("t", "l_orderkey"))
             .withColumn("tax_c", F.round(F.col("l_extendedprice") * F.col("l_tax") * 100).cast("bigint"))
             # orders grow with the line items, so a broadcast would not last
-            .join(orders.hint("shuffle_hash"), "l_orderkey")
+            .join(orders.hint("shuffle_hash"), "tx_guid")
         )
 
         def leg(name: str, account: Column, value: Column, quantity: Column) -> Column:
@@ -161,7 +164,7 @@ class StarLedger:
         hundred = F.lit(100).cast("bigint")
         return lines.withColumn("leg", F.explode(legs)).select(
             F.md5(F.concat_ws("|", "line_key", "leg.leg")).alias("guid"),
-            _key("t", "l_orderkey").alias("tx_guid"),
+            "tx_guid",
             "leg.account_guid",
             F.concat(F.lit("line "), _text("l_linenumber")).alias("memo"),
             F.col("act").alias("action"),
