@@ -45,7 +45,10 @@ def nearest(
         .withColumn("bucket", bucket)
     )
 
-    by_bucket = Window.partitionBy(key).orderBy("bucket")
+    # "the next point" is "the last seen" in descending order: frames that grow from
+    # the start of a partition take one step per row, open-ended ones rescan the rest
+    past = (Window.unboundedPreceding, -1)
+    buckets = Window.partitionBy(key)
     borders = (
         both.groupBy(key, "bucket")
         .agg(F.max("point").alias("last_point"), F.min("point").alias("first_point"))
@@ -53,26 +56,23 @@ def nearest(
             key,
             "bucket",
             F.last("last_point", ignorenulls=True)
-            .over(by_bucket.rowsBetween(Window.unboundedPreceding, -1))
+            .over(buckets.orderBy("bucket").rowsBetween(*past))
             .alias("before"),
-            F.first("first_point", ignorenulls=True)
-            .over(by_bucket.rowsBetween(1, Window.unboundedFollowing))
+            F.last("first_point", ignorenulls=True)
+            .over(buckets.orderBy(F.desc("bucket")).rowsBetween(*past))
             .alias("after"),
         )
     )
 
-    inside = Window.partitionBy(key, "bucket").orderBy(time)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(key, "bucket")
     found = both.select(
         key,
         "bucket",
         time,
         "asked",
-        F.last("point", ignorenulls=True)
-        .over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("prev"),
-        F.first("point", ignorenulls=True)
-        .over(inside.rangeBetween(Window.currentRow, Window.unboundedFollowing))
-        .alias("next"),
+        F.last("point", ignorenulls=True).over(inside.orderBy(time).rangeBetween(*so_far)).alias("prev"),
+        F.last("point", ignorenulls=True).over(inside.orderBy(F.desc(time)).rangeBetween(*so_far)).alias("next"),
     ).where("asked")
     left, right = F.coalesce("prev", "before"), F.coalesce("next", "after")
     located = (
