@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from ..functions.expr import in_years, rational, sum0
 
 
-def splits_with_accounts(ledger) -> DataFrame:
-    """Splits with the attributes of their account; amounts still as integer pairs."""
-    accounts = ledger.accounts.select(
+PATH_COLUMNS = ["finpack_account", "parent_accounts"]
+
+
+def splits_with_accounts(ledger, accounts: DataFrame | None = None) -> DataFrame:
+    """Splits with the attributes of their account; amounts still as integer pairs.
+
+    ``accounts`` may be the enriched accounts; their path columns then come along in
+    the same join, instead of a second shuffle of the splits on the account.
+    """
+    accounts = ledger.accounts if accounts is None else accounts
+    accounts = accounts.select(
         F.col("guid").alias("account_guid"),
         "account_type",
         F.col("description").alias("account_desc"),
@@ -20,6 +28,7 @@ def splits_with_accounts(ledger) -> DataFrame:
         "commodity_guid",
         F.col("name").alias("account_name"),
         F.col("code").alias("account_code"),
+        *[c for c in PATH_COLUMNS if c in accounts.columns],
     )
     splits = ledger.splits.select(
         F.col("guid").alias("split_guid"),
@@ -71,6 +80,7 @@ def counter_splits(
     inverse: bool = True,
     years: Sequence[int] | None = None,
     distinct_splits: bool = False,
+    accounts: DataFrame | None = None,
 ) -> DataFrame:
     """Splits joined to the *other* accounts of their transaction.
 
@@ -86,7 +96,7 @@ def counter_splits(
     use :func:`counter_flows`, which never multiplies rows.
     """
     chosen = F.col("account_type").isin(*types)
-    splits = splits_with_accounts(ledger)
+    splits = splits_with_accounts(ledger, accounts)
     sources = splits.select(
         "tx_guid",
         F.col("account_guid").alias("src_guid"),
@@ -136,14 +146,16 @@ def source_counts(ledger, types: Sequence[str]) -> DataFrame:
     )
 
 
-def counter_flows(ledger, types: Sequence[str], years: Sequence[int] | None = None) -> DataFrame:
+def counter_flows(
+    ledger, types: Sequence[str], years: Sequence[int] | None = None, accounts: DataFrame | None = None
+) -> DataFrame:
     """J2 in weighted form: one row per split of the accounts *outside* ``types``.
 
     ``sources`` says how often the split appears in the inverse counter-split join.
     ``amt`` and ``qty`` are already multiplied by it, so their sums equal those over
     the joined rows, without the fan-out.
     """
-    outside = splits_with_accounts(ledger).where(~F.col("account_type").isin(*types))
+    outside = splits_with_accounts(ledger, accounts).where(~F.col("account_type").isin(*types))
     dated = outside.join(transaction_heads(ledger, years), "tx_guid")
     return with_amounts(dated.join(source_counts(ledger, types), "tx_guid"), -F.col("sources"))
 

@@ -30,13 +30,6 @@ def _with_quantity(ledger, tx: DataFrame, years: Sequence[int] | None) -> DataFr
     return joined.withColumn("quantity", F.coalesce("quantity", F.lit(0)))
 
 
-def _with_account_paths(ledger, tx: DataFrame, crops: list[str] | None, level: int) -> DataFrame:
-    paths = all_accounts(ledger, crops or CROPS, level).select(
-        F.col("guid").alias("account_guid"), "finpack_account", "parent_accounts"
-    )
-    return tx.join(paths, "account_guid", "left")
-
-
 def fetch_transactions(
     ledger,
     types: Sequence[str],
@@ -48,9 +41,8 @@ def fetch_transactions(
     paths: bool = True,
 ) -> DataFrame:
     """Counter splits of some account types with paths and invoice quantities."""
-    tx = counter_splits(ledger, types, inverse, years)
-    if paths:
-        tx = _with_account_paths(ledger, tx, crops, level)
+    accounts = all_accounts(ledger, crops or CROPS, level) if paths else None
+    tx = counter_splits(ledger, types, inverse, years, accounts=accounts)
     return _with_quantity(ledger, tx, years) if quantity else tx
 
 
@@ -106,10 +98,9 @@ def farm_flows(
     transaction, so sums equal those over :func:`farm_cash_transactions` while no
     row is repeated.  Quantities and paths are joined only when asked for.
     """
-    tx = _clean(counter_flows(ledger, CASH_TYPES, years))
+    accounts = all_accounts(ledger, crops or CROPS, level) if paths else None
+    tx = _clean(counter_flows(ledger, CASH_TYPES, years, accounts))
     tx = _farm(tx, rules or FARM_RULES, excluded or HARVEST_CODES)
-    if paths:
-        tx = _with_account_paths(ledger, tx, crops, level)
     if quantity:
         tx = _with_quantity(ledger, tx, years).withColumn(
             "quantity", (F.col("quantity") * F.col("sources")).cast("decimal(24,4)")

@@ -55,3 +55,17 @@ def test_shared_folder_comes_from_the_session(spark):
         assert shared_dir(spark) == configured.rstrip("/")
     assert new_work_dir(spark, "x") != new_work_dir(spark, "x")
     assert cut_lineage(spark.range(3)).count() == 3
+
+
+def test_bucketed_splits_are_not_shuffled_again(spark, ledger_of, tmp_path):
+    from acreledger.operators.splits import counter_flows, source_counts
+    from acreledger.plans.chart import CASH_TYPES
+
+    books = ledger_of(accounts=ACCOUNTS, splits=SPLITS, transactions=TX)
+    src.write_bucketed(books, f"{tmp_path}/b", 4, "bucketed")
+    back = src.load_bucketed(spark, f"{tmp_path}/b", "bucketed")
+    assert values(counter_flows(back, CASH_TYPES), "split_guid", "amt") == values(counter_flows(books, CASH_TYPES), "split_guid", "amt")
+    plan = source_counts(back, CASH_TYPES)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    spark.sql("drop table bucketed_splits")
+    spark.sql("drop table bucketed_transactions")
