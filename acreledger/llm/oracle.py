@@ -85,5 +85,23 @@ SELECT f.doc_id, f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat
 FROM f LEFT JOIN levels l ON l.stratum = f.stratum"""
 
 
+def decontamination(window: int = 13) -> str:
+    """Windows as strings; a word is hit if it lies in an equal window of the document."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all({lower}, '{word}') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({lower}, '{word}') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(len(w), {window}) AS n, array_to_string(w[i:i + {window - 1}], ' ') AS g FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {window - 1}, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+found AS (SELECT dw.id, dw.i, dw.n, bw.item FROM dw JOIN bw ON bw.n = dw.n AND bw.g = dw.g),
+hit AS (SELECT id, count(DISTINCT k) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS k FROM found) GROUP BY id),
+items AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT id, item FROM found) GROUP BY id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.l, '')) AS items_sha256,
+  coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit h ON h.id = d.id LEFT JOIN items i ON i.id = d.id"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_mixing": mixing(), "op6_quality": quality(), "op7_shards": sharding()}
+    return {"op2_mixing": mixing(), "op6_quality": quality(), "op7_shards": sharding(), "op9_decontamination": decontamination()}

@@ -32,4 +32,11 @@ def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-REGISTRY = {f.__name__: f for f in (op2_mixing, op6_quality, op7_shards)}
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    found = contamination(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+REGISTRY = {f.__name__: f for f in (op2_mixing, op6_quality, op7_shards, op9_decontamination)}
