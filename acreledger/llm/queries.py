@@ -39,4 +39,11 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-REGISTRY = {f.__name__: f for f in (op2_mixing, op6_quality, op7_shards, op9_decontamination)}
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    from .simhash import hex_digits, near_duplicates
+
+    groups = near_duplicates(read(spark, folder, "documents"))
+    return groups.select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+REGISTRY = {f.__name__: f for f in (op2_mixing, op6_quality, op7_shards, op9_decontamination, op10_simhash)}
