@@ -57,7 +57,7 @@ def mix_sources(
     budget: int | None = None,
     max_epochs: int = 3,
     rows: int | None = None,
-    rows_per_block: int = 50_000,
+    rows_per_block: int = 2_000,
 ) -> DataFrame:
     """Rows with ``size, source_size, target, taken, copies``.
 
@@ -111,7 +111,7 @@ def mix_sources(
 
 def last_turn(queued: DataFrame, budget: int, max_epochs: int, bits: int) -> Column | None:
     """The last turn that the budget covers, as a literal struct; None if it covers none."""
-    slices = 4 << bits
+    slices = 4 << max(0, bits - 5)
     turns = queued.select("size", F.explode(F.array(*[_turn(e) for e in range(max_epochs)])).alias("turn"))
     turns = turns.withColumn("slice", F.least(F.floor(F.col("turn.time") * slices), F.lit(4 * slices)).cast("long"))
     sums = turns.groupBy("slice").agg(F.sum("size").alias("words"))
