@@ -103,5 +103,18 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_
 FROM d LEFT JOIN hit h ON h.id = d.id LEFT JOIN items i ON i.id = d.id"""
 
 
+def warc(min_bytes: int = 0) -> str:
+    """What the archives must give back; base32 from 40-bit groups of the digest."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    groups = " || ".join(
+        f"array_to_string([substr('{letters}', CAST(((('0x' || substr(h, {1 + 10 * g}, 10))::BIGINT >> (35 - 5 * j)) & 31) + 1 AS INT), 1) FOR j IN range(0, 8)], '')" for g in range(4)
+    )
+    return f"""
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT h, max(page_id) AS top, count(*) AS n FROM p WHERE payload_bytes >= {min_bytes} GROUP BY h),
+j AS (SELECT p.*, CASE WHEN g.n > 1 AND g.top IS NOT NULL AND p.page_id IS DISTINCT FROM g.top THEN g.top END AS refers_to FROM p LEFT JOIN g ON g.h = p.h)
+SELECT page_id, payload_bytes, {groups} AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM j"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_mixing": mixing(), "op6_quality": quality(), "op7_shards": sharding(), "op9_decontamination": decontamination()}
+    return {"op2_mixing": mixing(), "op3_warc": warc(), "op6_quality": quality(), "op7_shards": sharding(), "op9_decontamination": decontamination()}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acreledger.session import cut_lineage
+from acreledger.session import cut_lineage, new_work_dir
 
 from .common import read
 
@@ -46,4 +47,31 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-REGISTRY = {f.__name__: f for f in (op2_mixing, op6_quality, op7_shards, op9_decontamination, op10_simhash)}
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    from .warc import remove, roundtrip
+
+    work = new_work_dir(spark, "warc")
+    records = roundtrip(spark, read(spark, folder, "pages"), work)
+    number = lambda name: F.expr(f"try_cast(regexp_extract({name}, 'x-page:(-?[0-9]+)', 1) AS bigint)")
+    result = cut_lineage(
+        records.select(
+            number("id").alias("page_id"),
+            "payload_bytes",
+            F.col("digest").alias("payload_digest"),
+            F.col("type").alias("record_type"),
+            number("refers_to").alias("refers_to"),
+        )
+    )
+    remove(work)
+    return result
+
+
+def op8_tokens(spark: SparkSession, folder: str, vocabulary: str = "/opt/tokenizers/byte_bpe_50k.tiktoken") -> DataFrame:
+    from .tokens import load_ranks, section_tokens
+
+    counted = section_tokens(read(spark, folder, "documents").select("doc_id", "text"), load_ranks(vocabulary))
+    return counted.select("doc_id", "n_tokens", "n_sections", "section_tokens", "n_crossing")
+
+
+_ALL = (op2_mixing, op3_warc, op6_quality, op7_shards, op8_tokens, op9_decontamination, op10_simhash)
+REGISTRY = {f.__name__: f for f in _ALL}
