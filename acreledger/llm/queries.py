@@ -10,6 +10,13 @@ from acreledger.session import cut_lineage, new_work_dir
 from .common import read
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from .toxicity import judge_toxicity
+
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return judge_toxicity(docs, read(spark, folder, "labels")).drop("text")
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     from .mixing import mix_sources
 
@@ -17,6 +24,13 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    from .secrets import scan_secrets
+
+    found = scan_secrets(read(spark, folder, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "start", F.length("finding").alias("length"), F.sha2("finding", 256).alias("finding_sha256"), "p_secret", "secret")
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     from .quality import judge, measure
 
@@ -73,5 +87,5 @@ def op8_tokens(spark: SparkSession, folder: str, vocabulary: str = "/opt/tokeniz
     return counted.select("doc_id", "n_tokens", "n_sections", "section_tokens", "n_crossing")
 
 
-_ALL = (op2_mixing, op3_warc, op6_quality, op7_shards, op8_tokens, op9_decontamination, op10_simhash)
+_ALL = (op1_toxicity, op2_mixing, op3_warc, op5_secrets, op6_quality, op7_shards, op8_tokens, op9_decontamination, op10_simhash)
 REGISTRY = {f.__name__: f for f in _ALL}
