@@ -265,8 +265,8 @@ def roundtrip(spark: SparkSession, pages: DataFrame, folder: str, key: str = "pa
     spread = max(1, written.count())
     done = cut_lineage(normalise(written.repartition(spread), f"{folder}/warc"))
     remove(f"{folder}/raw")
-    members = read_index(done.repartition(spread))
-    return read_records(members)
+    members = cut_lineage(read_index(done))
+    return read_records(members.repartition(spread))
 
 
 def remove(folder: str) -> None:
