@@ -85,6 +85,23 @@ SELECT f.doc_id, f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat
 FROM f LEFT JOIN levels l ON l.stratum = f.stratum"""
 
 
+def repeats(length: int = 50) -> str:
+    """Passages as hexadecimal substrings; removed bytes are those near a passage with a smaller owner."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(doc_id, 9223372036854775807) AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT id, k, i, substr(h, CAST(2 * i + 1 AS INT), {2 * length}) AS g FROM (SELECT id, k, h, unnest(range(0, len(h) // 2 - {length - 1})) AS i FROM d WHERE len(h) >= {2 * length})),
+low AS (SELECT g, min(k) AS m FROM w GROUP BY g HAVING min(k) < max(k)),
+hit AS (SELECT w.id, w.i FROM w JOIN low ON low.g = w.g WHERE low.m < w.k),
+steps AS (SELECT id, i, coalesce(i > max(i) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + {length}, true) AS fresh FROM hit),
+runs AS (SELECT id, min(i) AS a, max(i) + {length} AS b FROM (SELECT id, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING) AS r FROM steps) GROUP BY id, r),
+cuts AS (SELECT id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY id),
+pieces AS (SELECT r.id, r.a AS place, substr(d.h, CAST(2 * coalesce(lag(r.b) OVER (PARTITION BY r.id ORDER BY r.a), 0) + 1 AS INT), CAST(2 * (r.a - coalesce(lag(r.b) OVER (PARTITION BY r.id ORDER BY r.a), 0)) AS INT)) AS p FROM runs r JOIN d ON d.id = r.id
+  UNION ALL SELECT d.id, len(d.h), substr(d.h, CAST(2 * max(r.b) + 1 AS INT)) FROM d JOIN runs r ON r.id = d.id GROUP BY d.id, d.h),
+kept AS (SELECT id, string_agg(p, '' ORDER BY place) AS h FROM pieces GROUP BY id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(c.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN cuts c ON c.id = d.id LEFT JOIN kept k ON k.id = d.id"""
+
+
 def decontamination(window: int = 13) -> str:
     """Windows as strings; a word is hit if it lies in an equal window of the document."""
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -117,4 +134,4 @@ SELECT page_id, payload_bytes, {groups} AS payload_digest, CASE WHEN refers_to I
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_mixing": mixing(), "op3_warc": warc(), "op6_quality": quality(), "op7_shards": sharding(), "op9_decontamination": decontamination()}
+    return {"op2_mixing": mixing(), "op3_warc": warc(), "op4_repeats": repeats(), "op6_quality": quality(), "op7_shards": sharding(), "op9_decontamination": decontamination()}

@@ -24,6 +24,17 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    from .repeats import remove_repeats
+    from .warc import remove
+
+    work = new_work_dir(spark, "repeats")
+    found = remove_repeats(read(spark, folder, "documents"), work)
+    result = cut_lineage(found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+    remove(work)
+    return result
+
+
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     from .secrets import scan_secrets
 
@@ -87,5 +98,5 @@ def op8_tokens(spark: SparkSession, folder: str, vocabulary: str = "/opt/tokeniz
     return counted.select("doc_id", "n_tokens", "n_sections", "section_tokens", "n_crossing")
 
 
-_ALL = (op1_toxicity, op2_mixing, op3_warc, op5_secrets, op6_quality, op7_shards, op8_tokens, op9_decontamination, op10_simhash)
+_ALL = (op1_toxicity, op2_mixing, op3_warc, op4_repeats, op5_secrets, op6_quality, op7_shards, op8_tokens, op9_decontamination, op10_simhash)
 REGISTRY = {f.__name__: f for f in _ALL}
