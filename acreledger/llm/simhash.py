@@ -97,88 +97,120 @@ class GrayTree:
             self.levels.append((shared & ~above, low))
             above = shared
 
-    def within(self, queries: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (place of the query, place of the fingerprint) that differ in at most ``most`` bits."""
-        for at in range(0, len(queries), CHUNK):
-            query = np.arange(at, min(at + CHUNK, len(queries)))
-            node = np.zeros(len(query), dtype=np.int64)
-            gone = np.zeros(len(query), dtype=np.uint8)
-            for depth, (mask, bits) in enumerate(self.levels):
-                if depth:
-                    query, gone = np.repeat(query, FAN_OUT), np.repeat(gone, FAN_OUT)
-                    node = (node[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
-                    real = node < len(mask)
-                    query, gone, node = query[real], gone[real], node[real]
-                gone = gone + np.bitwise_count((queries[query] ^ bits[node]) & mask[node])
-                near = gone <= most
-                query, gone, node = query[near], gone[near], node[near]
-            yield query, node
-
-
-def spanning_links(n: int, pairs: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Links (node, smallest node of its component) with the same components as the pairs."""
-    label = np.arange(n)
-    for a, b in pairs:
+    def within(self, queries: np.ndarray, most: int, label: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (place of the query, place of the fingerprint) that differ in at most ``most`` bits.
+
+        ``own`` are labels of the fingerprints, ``label`` those of the queries.  A group whose fingerprints all
+        have the query's label is left too: it could add no new link.
+        """
+        lows, highs = [own], [own]
+        while len(lows[-1]) > 1:
+            at = np.arange(0, len(lows[-1]), FAN_OUT)
+            lows.append(np.minimum.reduceat(lows[-1], at))
+            highs.append(np.maximum.reduceat(highs[-1], at))
+        query = np.arange(len(queries))
+        node = np.zeros(len(query), dtype=np.int64)
+        gone = np.zeros(len(query), dtype=np.uint8)
+        for depth, ((mask, bits), low, high) in enumerate(zip(self.levels, reversed(lows), reversed(highs), strict=True)):
+            if depth:
+                query, gone = np.repeat(query, FAN_OUT), np.repeat(gone, FAN_OUT)
+                node = (node[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
+                real = node < len(mask)
+                query, gone, node = query[real], gone[real], node[real]
+            gone = gone + np.bitwise_count((queries[query] ^ bits[node]) & mask[node])
+            near = (gone <= most) & ((low[node] != label[query]) | (high[node] != label[query]))
+            query, gone, node = query[near], gone[near], node[near]
+        return query, node
+
+
+def spanning_links(own: np.ndarray, everyone: np.ndarray, most: int, agree=None) -> tuple[np.ndarray, np.ndarray]:
+    """Links (place, smallest place of its component) that connect what is near; ``everyone`` begins with ``own``.
+
+    ``agree`` may reject pairs of places.  Queries come in growing chunks, and what is connected already is not
+    compared again, so a large group of copies costs about its size, not its square.
+    """
+    tree, label = GrayTree(own), np.arange(len(everyone))
+    at, size = 0, 16
+    while at < len(everyone):
+        part = slice(at, min(at + size, len(everyone)))
+        a, b = tree.within(everyone[part], most, label[part], label[: len(own)])
+        a = a + at
+        if agree is not None:
+            fine = agree(a, b)
+            a, b = a[fine], b[fine]
         while len(a):
             x, y = label[a], label[b]
             apart = x != y
             a, b, x, y = a[apart], b[apart], x[apart], y[apart]
             np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-            while True:
-                up = label[label]
-                if np.array_equal(up, label):
-                    break
+            while not np.array_equal(up := label[label], label):
                 label = up
-    nodes = np.flatnonzero(label != np.arange(n))
+        at, size = part.stop, min(size * 4, CHUNK)
+    nodes = np.flatnonzero(label != np.arange(len(label)))
     return nodes, label[nodes]
 
 
-def near_links(classes: DataFrame, most: int = 2, per_shard: int = 20_000, rows: int | None = None) -> DataFrame:
-    """``u, v``: links that connect all distinct fingerprints at most ``most`` bits apart.
+def ranks_of(fps: np.ndarray) -> np.ndarray:
+    rank = fps.copy()
+    for step in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(step)
+    return rank
 
-    ``classes`` has one row per fingerprint ``fp``.  Each shard returns a spanning forest of the links that it
-    finds, not the links, so a dense group costs a row per member.  Only the roots of the shards, a row each,
-    come to the driver.  With random fingerprints and 2**s shards a query goes to 1 + s + s*(s-1)/2 of them.
+
+def link_groups(rows: DataFrame, most: int, schema: str, search, per_shard: int, count: int) -> DataFrame:
+    """Deals ``rows`` (``tab, fp`` and others) over shards of the Gray order, and lets ``search`` connect each shard.
+
+    Every table ``tab`` is a list of its own.  A row goes to its own shard, and to each later one of its table
+    whose root differs from it in at most ``most`` of the shared bits.  Only the roots, a row per shard,
+    come to the driver.  With random fingerprints and 2**s shards a row goes to the 1 + s + s*(s-1)/2 (for two
+    bits) that it can match, not to all.
     """
-    spark = classes.sparkSession
-    count = classes.count() if rows is None else rows
-    shards = max(1, -(-count // per_shard), min(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 500))
-    ranked = classes.select("fp", gray_rank(F.col("fp")).alias("rank")).repartitionByRange(shards, "rank")
-    placed = cut_lineage(ranked.select("fp", "rank", F.spark_partition_id().alias("shard")))
-    roots = placed.groupBy("shard").agg(F.bit_and("fp").alias("low"), F.bit_or("fp").alias("high")).orderBy("shard").collect()
+    spark = rows.sparkSession
+    shards = max(1, -(-count // per_shard))
+    ranked = rows.withColumn("rank", gray_rank(F.col("fp"))).repartitionByRange(shards, "tab", "rank").drop("rank")
+    placed = cut_lineage(ranked.withColumn("shard", F.spark_partition_id()))
+    roots = placed.groupBy("tab", "shard").agg(F.bit_and("fp").alias("low"), F.bit_or("fp").alias("high")).orderBy("tab", "shard").collect()
     low = np.array([r["low"] for r in roots], dtype=np.int64).view(np.uint64)
     high = np.array([r["high"] for r in roots], dtype=np.int64).view(np.uint64)
-    names = np.array([r["shard"] for r in roots], dtype=np.int32)
-    sent = spark.sparkContext.broadcast((names, low, ~(low ^ high)))
+    tabs, names = np.array([r["tab"] for r in roots], dtype=np.int32), np.array([r["shard"] for r in roots], dtype=np.int32)
+    sent = spark.sparkContext.broadcast((tabs, names, low, ~(low ^ high)))
+    tab, fp, home = (placed.columns.index(c) for c in ("tab", "fp", "shard"))
 
     def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, bits, mask = sent.value
+        tabs, names, bits, mask = sent.value
         for batch in batches:
-            all_fps = batch.column(0).to_numpy().view(np.uint64)
-            all_homes = batch.column(1).to_numpy()
-            for at in range(0, len(all_fps), 4096):
-                fps, homes = all_fps[at : at + 4096], all_homes[at : at + 4096]
-                q, k = np.nonzero(np.bitwise_count((fps[:, None] ^ bits) & mask) <= most)
-                later = names[k] >= homes[q]  # each pair of shards meets once
-                q, k = q[later], k[later]
-                yield pa.RecordBatch.from_arrays([pa.array(names[k]), pa.array(fps[q].view(np.int64)), pa.array(homes[q] == names[k])], ["shard", "fp", "member"])
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                fps, mine = part.column(fp).to_numpy().view(np.uint64), part.column(tab).to_numpy()
+                near = np.bitwise_count((fps[:, None] ^ bits) & mask) <= most
+                homes = part.column(home).to_numpy()
+                q, k = np.nonzero(near & (tabs == mine[:, None]) & (names >= homes[:, None]))  # each pair of shards meets once
+                columns = [pa.array(names[k]) if i == home else c.take(pa.array(q)) for i, c in enumerate(part.columns)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(homes[q] == names[k])], [*part.schema.names, "member"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
+    routed = placed.mapInArrow(route, f"{kinds}, member boolean")
+    return routed.groupBy("tab", "shard").applyInPandas(search, schema)
+
+
+def near_links(classes: DataFrame, most: int = 2, per_shard: int = 50_000, rows: int | None = None) -> DataFrame:
+    """``u, v``: links that connect all distinct fingerprints at most ``most`` bits apart.
+
+    ``classes`` has one row per fingerprint ``fp``.  Each shard returns a spanning forest of the links that it
+    finds, not the links, so a dense group costs a row per member.
+    """
 
     def search(part: pd.DataFrame) -> pd.DataFrame:
         member = part["member"].to_numpy()
         fps = part["fp"].to_numpy().view(np.uint64)
         own, others = fps[member], fps[~member]
-        rank = own.copy()
-        for step in (1, 2, 4, 8, 16, 32):
-            rank ^= rank >> np.uint64(step)
-        own = own[np.argsort(rank)]
+        own = own[np.argsort(ranks_of(own))]
         everyone = np.concatenate([own, others])
-        if not len(own):
-            return pd.DataFrame({"u": [], "v": []}, dtype=np.int64)
-        u, v = spanning_links(len(everyone), GrayTree(own).within(everyone, most))
+        u, v = spanning_links(own, everyone, most) if len(own) else (np.zeros(0, np.int64),) * 2
         return pd.DataFrame({"u": everyone[u].view(np.int64), "v": everyone[v].view(np.int64)})
 
-    routed = placed.select("fp", "shard").mapInArrow(route, "shard int, fp bigint, member boolean")
-    return routed.groupBy("shard").applyInPandas(search, "u bigint, v bigint")
+    listed = classes.select(F.lit(0).alias("tab"), "fp")
+    return link_groups(listed, most, "u bigint, v bigint", search, per_shard, classes.count() if rows is None else rows)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, most: int = 2) -> DataFrame:
@@ -201,3 +233,81 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 def hex_digits(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+#: A sketch: so many tables of 32 bits.  Two texts that share four of five shingles (Jaccard 0.8) differ in about
+#: 15 % of all bits; in a table they differ in at most three bits with a chance of 0.3, in one of eight with 0.94.
+TABLES, NEAR_BITS = 8, 3
+_SPREAD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+
+
+def sketch(text: bytes, shingle: int) -> bytes:
+    """256 bits as in ``fingerprint``, from four mixtures of each distinct shingle's hash."""
+    words = text.lower().split()
+    if not words:
+        return bytes(32)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    begins = np.concatenate([[0], ends[:-1] + 1])
+    n = max(1, len(words) - shingle + 1)
+    begins, ends = begins[:n], ends[min(shingle, len(words)) - 1 :][:n]
+    digest = xxhash.xxh64_intdigest
+    hashes = np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], dtype=np.uint64))
+    total = np.zeros(256, dtype=np.int64)
+    for at in range(0, len(hashes), 16384):
+        h = hashes[at : at + 16384]
+        mixed = np.stack([(h ^ (h >> np.uint64(32))) * m for m in _SPREAD], axis=1)
+        mixed ^= mixed >> np.uint64(29)
+        total += np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8).reshape(-1, 32), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(total * 2 > len(hashes)).tobytes()
+
+
+def most_differing(similarity: float) -> int:
+    """Bits of 256 in which texts of this Jaccard similarity differ on average."""
+    return int(256 * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, per_table: int = 250_000) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group: that with the smallest key.
+
+    Two bits of 64 part texts of a similarity of 0.8 almost always, so here a text has eight fingerprints of
+    32 bits.  Those at most three bits apart in any of eight Gray-order indexes are candidates; they link if all
+    256 bits put their similarity at ``similarity`` or more.  Groups are the components of the links.  Equal sketches
+    are one class from the start.  Texts without words are equal.  A null key is larger than all others; equal
+    rows are reduced to one; rows of one key with different texts are judged as different documents.
+    """
+    source = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                data, bounds = text_buffer(part.column(2))
+                raw = data.tobytes()
+                found = [sketch(raw[a:b], shingle) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary())], ["key", "mark", "sketch"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    marked = cut_lineage(source.mapInArrow(task, f"key {kind}, mark bigint, sketch binary"))
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark"))
+    classes = marked.groupBy("sketch").agg(first.alias("first"))
+    part = lambda t: F.conv(F.substring(F.hex("sketch"), 8 * t + 1, 8), 16, 10).cast("long")
+    tables = classes.select("sketch", F.posexplode(F.array(*[part(t) for t in range(TABLES)])).alias("tab", "fp"))
+    most = most_differing(similarity)
+
+    def search(rows: pd.DataFrame) -> pd.DataFrame:
+        fps = rows["fp"].to_numpy().view(np.uint64)
+        member = rows["member"].to_numpy()
+        order = np.lexsort((ranks_of(fps), ~member))  # members first, in Gray order
+        names = rows["sketch"].to_numpy()[order]
+        bits = np.frombuffer(b"".join(names), dtype=np.uint64).reshape(-1, 4)
+        agree = lambda a, b: np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= most
+        u, v = spanning_links(fps[order][: member.sum()], fps[order], NEAR_BITS, agree) if member.any() else (np.zeros(0, np.int64),) * 2
+        return pd.DataFrame({"u": names[u], "v": names[v]})
+
+    links = link_groups(tables.select("tab", "fp", "sketch"), NEAR_BITS, "u binary, v binary", search, per_table, marked.count() * TABLES)
+    stars = components(links)
+    grouped = classes.join(stars, classes["sketch"] == stars["node"], "left").groupBy(F.coalesce("component", "sketch").alias("group"))
+    chosen = cut_lineage(grouped.agg(F.min("first").alias("first")).select(F.col("first.key").alias("_key"), F.col("first.mark").alias("_mark")))
+    kept = docs.join(chosen, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_mark")), "left_semi")
+    repeated = marked.groupBy("key", "mark").count().filter("count > 1")
+    return kept.dropDuplicates([key, text]) if not repeated.isEmpty() else kept
