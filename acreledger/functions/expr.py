@@ -8,19 +8,22 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+# nine digits behind the point: exact for every denominator that divides 10**9
+MONEY = "decimal(28,9)"
+WHOLE = "decimal(20,0)"
 RATIO = "decimal(22,6)"
 
 
 def rational(num: str | Column, denom: str | Column) -> Column:
-    """numerator/denominator as an exact decimal; zero denominator gives null.
+    """numerator/denominator as a decimal; zero denominator gives null.
 
-    Decimals make every later sum independent of partitioning and exact to the
-    cent, which doubles cannot be at cluster scale.
+    The division is one of decimals, so it is exact for denominators that divide
+    10**9 and rounds half up at the ninth digit for others.  Sums of decimals do not
+    depend on partitioning, as sums of doubles would.
     """
     n = F.col(num) if isinstance(num, str) else num
     d = F.col(denom) if isinstance(denom, str) else denom
-    return F.try_divide(n.cast("double"), d.cast("double")).cast(MONEY)
+    return F.try_divide(n.cast(WHOLE), d.cast(WHOLE)).cast(MONEY)
 
 
 def in_year(column: str | Column, year: int | None, through: bool = False) -> Column:

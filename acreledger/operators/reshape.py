@@ -27,10 +27,11 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], variable: str
 def number_text(column: str | Column) -> Column:
     """Plain decimal text of a number, as short as possible, at least ``.0``.
 
-    Never uses exponent notation, unlike a cast of a double to string.
+    Never uses exponent notation, unlike a cast of a double to string, whose digits
+    it keeps (up to twelve behind the point).
     """
     c = F.col(column) if isinstance(column, str) else column
-    fixed = c.cast("decimal(28,4)").cast("string")
+    fixed = c.cast("string").cast("decimal(38,12)").cast("string")
     trimmed = F.rtrim(fixed, F.lit("0"))
     return F.when(F.endswith(trimmed, F.lit(".")), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)
 

@@ -10,14 +10,28 @@ from pyspark.sql import functions as F
 from ..functions.expr import in_years, rational, sum0
 
 
+def in_folders(df: DataFrame, years: Sequence[int] | None) -> DataFrame:
+    """Rows of the year folders of some years, where the table is kept in such folders."""
+    if not years or "post_year" not in df.columns:
+        return df
+    return df.where(F.col("post_year").isin(*([years] if isinstance(years, int) else sorted(set(years)))))
+
+
 PATH_COLUMNS = ["finpack_account", "parent_accounts"]
 
 
-def splits_with_accounts(ledger, accounts: DataFrame | None = None) -> DataFrame:
+def splits_with_accounts(
+    ledger,
+    accounts: DataFrame | None = None,
+    heads: DataFrame | None = None,
+    years: Sequence[int] | None = None,
+) -> DataFrame:
     """Splits with the attributes of their account; amounts still as integer pairs.
 
     ``accounts`` may be the enriched accounts; their path columns then come along in
     the same join, instead of a second shuffle of the splits on the account.
+    ``heads`` are the wanted transactions; their columns are joined first, so only
+    their splits go on.  ``years`` are theirs, for splits kept in year folders.
     """
     accounts = ledger.accounts if accounts is None else accounts
     accounts = accounts.select(
@@ -30,7 +44,7 @@ def splits_with_accounts(ledger, accounts: DataFrame | None = None) -> DataFrame
         F.col("code").alias("account_code"),
         *[c for c in PATH_COLUMNS if c in accounts.columns],
     )
-    splits = ledger.splits.select(
+    splits = in_folders(ledger.splits, years).select(
         F.col("guid").alias("split_guid"),
         "tx_guid",
         "account_guid",
@@ -43,6 +57,8 @@ def splits_with_accounts(ledger, accounts: DataFrame | None = None) -> DataFrame
         "quantity_num",
         "quantity_denom",
     )
+    if heads is not None:
+        splits = splits.join(heads, "tx_guid")
     return splits.join(accounts, "account_guid")
 
 
@@ -59,7 +75,7 @@ def with_amounts(df: DataFrame, factor: int | Column = 1) -> DataFrame:
 
 def transaction_heads(ledger, years: Sequence[int] | None = None) -> DataFrame:
     """Transactions under their report names, year range pushed to the scan."""
-    return ledger.transactions.where(in_years("post_date", years)).select(
+    return in_folders(ledger.transactions, years).where(in_years("post_date", years)).select(
         F.col("guid").alias("tx_guid"),
         "currency_guid",
         F.col("num").alias("tx_num"),
@@ -71,7 +87,7 @@ def transaction_heads(ledger, years: Sequence[int] | None = None) -> DataFrame:
 
 def all_transactions(ledger, years: Sequence[int] | None = None) -> DataFrame:
     """Every split with its account and transaction."""
-    return with_amounts(splits_with_accounts(ledger).join(transaction_heads(ledger, years), "tx_guid"))
+    return with_amounts(splits_with_accounts(ledger, None, transaction_heads(ledger, years), years))
 
 
 def counter_splits(
@@ -91,13 +107,15 @@ def counter_splits(
     other account, as in the report this reproduces; ``distinct_splits`` keeps each
     split once, with the smallest source account.
 
-    The join key is the transaction; adaptive execution splits a transaction that
-    holds a large share of the splits.  Totals that need no source columns should
+    The wanted years restrict both sides before they meet.  The join on the transaction
+    is the last one, so adaptive execution can split a transaction that holds a large
+    share of the splits.  Totals that need no source columns should
     use :func:`counter_flows`, which never multiplies rows.
     """
     chosen = F.col("account_type").isin(*types)
-    splits = splits_with_accounts(ledger, accounts)
-    sources = splits.select(
+    splits = splits_with_accounts(ledger, accounts, transaction_heads(ledger, years), years)
+    dated = transaction_heads(ledger, years).select("tx_guid") if years else None
+    sources = splits_with_accounts(ledger, None, dated, years).select(
         "tx_guid",
         F.col("account_guid").alias("src_guid"),
         F.col("account_code").alias("src_code"),
@@ -126,20 +144,21 @@ def counter_splits(
     else:
         sources = sources.distinct()
         joined = splits.join(sources, "tx_guid").where(F.col("account_guid") != F.col("src_guid"))
-    dated = joined.join(transaction_heads(ledger, years), "tx_guid")
-    return with_amounts(dated, -1 if inverse else 1)
+    return with_amounts(joined, -1 if inverse else 1)
 
 
-def source_counts(ledger, types: Sequence[str]) -> DataFrame:
+def source_counts(ledger, types: Sequence[str], years: Sequence[int] | None = None) -> DataFrame:
     """Number of distinct accounts of some types per transaction.
 
     Distinct is taken on (transaction, account), so a huge transaction is spread
     over many tasks before its short list of accounts is counted.
     """
     chosen = ledger.accounts.where(F.col("account_type").isin(*types)).select(F.col("guid").alias("account_guid"))
+    splits = in_folders(ledger.splits, years).select("tx_guid", "account_guid")
+    if years:
+        splits = splits.join(transaction_heads(ledger, years).select("tx_guid"), "tx_guid", "left_semi")
     return (
-        ledger.splits.select("tx_guid", "account_guid")
-        .join(chosen, "account_guid", "left_semi")
+        splits.join(chosen, "account_guid", "left_semi")
         .distinct()
         .groupBy("tx_guid")
         .agg(F.count(F.lit(1)).alias("sources"))
@@ -155,9 +174,9 @@ def counter_flows(
     ``amt`` and ``qty`` are already multiplied by it, so their sums equal those over
     the joined rows, without the fan-out.
     """
-    outside = splits_with_accounts(ledger, accounts).where(~F.col("account_type").isin(*types))
-    dated = outside.join(transaction_heads(ledger, years), "tx_guid")
-    return with_amounts(dated.join(source_counts(ledger, types), "tx_guid"), -F.col("sources"))
+    heads = transaction_heads(ledger, years)
+    outside = splits_with_accounts(ledger, accounts, heads, years).where(~F.col("account_type").isin(*types))
+    return with_amounts(outside.join(source_counts(ledger, types, years), "tx_guid"), -F.col("sources"))
 
 
 def account_totals(ledger, year: int | None = None) -> DataFrame:
@@ -166,7 +185,7 @@ def account_totals(ledger, year: int | None = None) -> DataFrame:
     Splits are summed by account guid before account attributes are joined, so a
     hot account shrinks to one row per map task before anything is shuffled.
     """
-    splits = ledger.splits.select(
+    splits = in_folders(ledger.splits, [year] if year else None).select(
         "tx_guid", "account_guid", rational("value_num", "value_denom").alias("amt")
     )
     if year:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,14 +9,38 @@ from ..functions.expr import descriptor
 from ..session import cut_lineage
 
 
-def parent_paths(accounts: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Names from an inner node up to its root: ``(guid, names, closed)``.
+#: Rounds (depth 2**6) after which the walkers are tested for cycles.
+ROUNDS_BEFORE_TEST = 6
+
+
+def endless(pointers: DataFrame) -> DataFrame:
+    """Nodes of ``(guid, next)`` whose pointers never end: those on or above a cycle.
+
+    Every doubling covers twice the steps.  A chain has fewer steps than there are
+    nodes, so what still points somewhere after more steps than that has no end.
+    """
+    steps, nodes = 1, pointers.count()
+    state = pointers
+    while steps <= nodes:
+        walking = state.where(F.col("next").isNotNull())
+        if walking.isEmpty():
+            break
+        jump = state.select(F.col("guid").alias("next"), F.col("next").alias("after"))
+        moved = walking.join(jump, "next").select("guid", F.col("after").alias("next"))
+        state = cut_lineage(state.where(F.col("next").isNull()).unionByName(moved))
+        steps *= 2
+    return state.where(F.col("next").isNotNull()).select("guid")
+
+
+def parent_paths(accounts: DataFrame) -> DataFrame:
+    """Names from an inner node up to its root: ``(guid, names, closed)``, at any depth.
 
     Only nodes that are somebody's parent take part, a small part of the accounts.
     Pointers double each round, so depth d takes ceil(log2 d) joins; every round
     is checkpointed, because the plan would otherwise double with it.  Nodes
     without a name are skipped in the path; a parent that does not exist ends it.
-    A node on or above a cycle never ends and is returned with ``closed = false``.
+    A node on or above a cycle never ends and is returned with ``closed = false``;
+    such nodes are found by pointers alone, so no path is drawn out around a cycle.
     """
     parents = accounts.where(F.col("parent_guid").isNotNull()).select(F.col("parent_guid").alias("guid")).distinct()
     nodes = accounts.join(parents, "guid", "left_semi").select("guid", "name", "parent_guid")
@@ -29,10 +51,15 @@ def parent_paths(accounts: DataFrame, max_depth: int = 64) -> DataFrame:
         F.when(F.col("known"), F.col("parent_guid")).alias("next"),
     )
     state = cut_lineage(state)
-    for _ in range(max(1, math.ceil(math.log2(max_depth)))):
+    cyclic, rounds = None, 0
+    while True:
+        if rounds == ROUNDS_BEFORE_TEST:
+            cyclic = endless(state.select("guid", "next"))
+            state = cut_lineage(state.join(cyclic, "guid", "left_anti"))
         walking = state.where(F.col("next").isNotNull())
         if walking.isEmpty():
             break
+        rounds += 1
         jump = state.select(
             F.col("guid").alias("next"), F.col("names").alias("more"), F.col("next").alias("after")
         )
@@ -40,16 +67,19 @@ def parent_paths(accounts: DataFrame, max_depth: int = 64) -> DataFrame:
             "guid", F.concat("names", "more").alias("names"), F.col("after").alias("next")
         )
         state = cut_lineage(state.where(F.col("next").isNull()).unionByName(moved))
-    return state.select("guid", "names", F.col("next").isNull().alias("closed"))
+    closed = state.select("guid", "names", F.lit(True).alias("closed"))
+    if cyclic is None:
+        return closed
+    return closed.unionByName(cyclic.select("guid", F.array().cast("array<string>").alias("names"), F.lit(False).alias("closed")))
 
 
-def with_paths(accounts: DataFrame, level: int = 4, max_depth: int = 64) -> DataFrame:
+def with_paths(accounts: DataFrame, level: int = 4) -> DataFrame:
     """Add ``parent_accounts`` (nearest first, ``>`` joined), ``finpack_account``.
 
     The level counts from the root; accounts nearer to the root than that keep
     their own name.  Accounts in a cycle get a null path and ``path_closed`` false.
     """
-    paths = parent_paths(accounts, max_depth).select(
+    paths = parent_paths(accounts).select(
         F.col("guid").alias("parent_guid"), F.col("names").alias("_names"), F.col("closed").alias("_closed")
     )
     names = F.coalesce("_names", F.array().cast("array<string>"))

@@ -145,17 +145,17 @@ def flexible_lease(
         .join(price, "crop", "left")
         .join(terms, ["operation_id", "crop"])
     )
-    # decimals of fixed width: products stay exact, so rounding sees true ties
-    acres = F.col("acres").cast("decimal(12,2)")
-    base = F.col("base_rent").cast("decimal(14,0)")
-    cap = F.col("Max").cast("decimal(14,2)")
-    revenue = F.round(F.col("bu_per_acre").cast("double") * F.col("price"), 2).cast("decimal(14,2)")
+    # widths that hold every product in full, so rounding sees true ties
+    acres = F.col("acres").cast("decimal(16,4)")
+    base = F.col("base_rent").cast("decimal(18,4)")
+    cap = F.col("Max").cast("decimal(18,4)")
+    revenue = F.round(F.col("bu_per_acre").cast("double") * F.col("price"), 2).cast("decimal(18,2)")
     steps = (
-        rent.withColumn("rev_pct", (F.col("Percentage") / 100).cast("decimal(7,4)"))
+        rent.withColumn("rev_pct", (F.col("Percentage") / 100).cast("decimal(12,8)"))
         .withColumn("revenue", revenue)
         .withColumn("capped_total", F.round(cap * acres, 2))
         .withColumn("capped_bonus", F.round(F.col("capped_total") - base * acres, 2))
-        .withColumn("raw_bonus", F.round(F.col("revenue") * acres * F.col("rev_pct") - base * acres, 2))
+        .withColumn("raw_bonus", F.round((F.col("revenue") * acres).cast("decimal(25,6)") * F.col("rev_pct") - base * acres, 2))
         .withColumn("bonus", F.least("raw_bonus", "capped_bonus"))
         .withColumn("adj_rent", ratio(F.col("bonus") + F.col("amt"), acres, 2))
     )

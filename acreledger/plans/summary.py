@@ -36,10 +36,13 @@ def summary_by_ancestor(tx: DataFrame, by_year: bool = False) -> DataFrame:
 def executive_summary(
     tx: DataFrame,
     include_depreciation: bool = False,
-    limit: int | None = 5,
+    limit: int | None = None,
     by_year: bool = False,
 ) -> DataFrame:
-    """Sums per type with OIBDA and net income, in fixed order, first ``limit``.
+    """Sums per type with OIBDA and net income, in fixed order.
+
+    All types are returned; ``limit`` cuts to the first rows of each year, for a last
+    step of a printed report only (a trend must be built from uncut rows).
 
     INCOME and EXPENSE always show; a missing one is null and makes OIBDA null.
     Sums are taken once; the derived rows come from the handful of summed rows.

@@ -52,6 +52,26 @@ def load_ledger(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     return Ledger(read)
 
 
+def declared(df: DataFrame, schema: str, zone: str | None = None) -> DataFrame:
+    """Columns of a table cast to their declared types; what does not fit becomes null.
+
+    Databases without a time type keep times as text: bad text is null, and text in
+    local time of ``zone`` is moved to the session's UTC.  Columns that are missing are
+    null, others are left out.
+    """
+
+    def one(name: str, kind: str):
+        if name not in df.columns:
+            return F.lit(None).cast(kind).alias(name)
+        c = F.col(name)
+        if kind == "timestamp" and dict(df.dtypes)[name] == "string":
+            stamp = F.try_to_timestamp(F.trim(c))
+            return (F.to_utc_timestamp(stamp, zone) if zone else stamp).alias(name)
+        return c.try_cast(kind).alias(name)
+
+    return df.select(*[one(*part.strip().split(" ")) for part in schema.split(",")])
+
+
 def guid_ranges(column: str, parts: int) -> list[str]:
     """Predicates that cut a hex guid column into ``parts`` (a power of 16) ranges.
 
@@ -74,31 +94,42 @@ def load_ledger_jdbc(
     properties: Mapping[str, str] | None = None,
     parallel: Mapping[str, int] | None = None,
     names: Mapping[str, str] | None = None,
+    zone: str | None = None,
 ) -> Ledger:
-    """Ledger read straight from a database; large tables read in guid ranges."""
+    """Ledger read straight from a database; large tables read in guid ranges.
+
+    Every table gets its declared types, see :func:`declared`.
+    """
     parallel = {"splits": 256, "transactions": 256, "entries": 256, **(parallel or {})}
     names = {"locks": "gnclock", **(names or {})}
 
     def read(name: str) -> DataFrame:
         table, parts = names.get(name, name), parallel.get(name, 1)
         if parts > 1:
-            return spark.read.jdbc(
-                url, table, predicates=guid_ranges("guid", parts), properties=dict(properties or {})
-            )
-        return spark.read.jdbc(url, table, properties=dict(properties or {}))
+            ranges = guid_ranges("guid", parts)
+            rows = spark.read.jdbc(url, table, predicates=ranges, properties=dict(properties or {}))
+        else:
+            rows = spark.read.jdbc(url, table, properties=dict(properties or {}))
+        return declared(rows, LEDGER_TABLES[name], zone)
 
     return Ledger(read)
 
 
 def write_ledger(ledger: Ledger, path: str, tables: list[str] | None = None) -> None:
-    """Write tables as Parquet; transactions are partitioned by posting year.
+    """Write tables as Parquet; transactions and splits are partitioned by posting year.
 
-    Year partitions make the year filters of every report prune whole folders.
+    Reports that name their years read only those folders of both tables.
     """
+    years = ledger.table("transactions").select(
+        F.col("guid").alias("tx_guid"), F.year("post_date").alias("post_year")
+    )
     for name in tables or list(LEDGER_TABLES):
         df = ledger.table(name)
         writer = df.write.mode("overwrite")
-        if name == "transactions":
+        if name == "splits":
+            dated = df.join(years.dropDuplicates(["tx_guid"]), "tx_guid", "left").select(*df.columns, "post_year")
+            writer = dated.write.mode("overwrite").partitionBy("post_year")
+        elif name == "transactions":
             writer = df.withColumn("post_year", F.year("post_date")).write.mode("overwrite").partitionBy("post_year")
         writer.parquet(f"{path}/{name}")
 

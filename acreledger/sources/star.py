@@ -143,8 +143,7 @@ class StarLedger:
             self._lines()
             .withColumn("tx_guid", _key("t", "l_orderkey"))
             .withColumn("tax_c", F.round(F.col("l_extendedprice") * F.col("l_tax") * 100).cast("bigint"))
-            # orders grow with the line items, so a broadcast would not last
-            .join(orders.hint("shuffle_hash"), "tx_guid")
+            .join(orders, "tx_guid")
         )
 
         def leg(name: str, account: Column, value: Column, quantity: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import ticket_number, ticket_title
+from ..session import cut_lineage, drop_dir
 
 # Weeks of the window function start on the epoch's weekday; day 4 is a Monday.
 WINDOWS = {"day": ("1 day", None, None), "week": ("7 days", "7 days", "4 days")}
@@ -24,27 +25,38 @@ def windowed_totals(events: DataFrame, time: str, value: str, unit: str = "day",
     return totals.select(label.alias("bucket"), "total", "rows")
 
 
+#: Every so many batches the changes so far become one folder.
+COMPACT_EVERY = 50
+
+
 def start_totals(totals: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Keeps a Parquet copy of the totals that a finished batch replaces as a whole.
+    """Keeps the totals under ``path``: each batch adds the buckets that it changed.
 
-    The result has one row per bucket, so rewriting it per batch is cheap, and
-    readers see either the old or the new set under ``batch=<id>``.
+    Update mode hands on changed buckets only and frees the state of those that the
+    watermark has passed.  A batch writes ``batch=<id>``, so a repeated batch replaces
+    its own folder; now and then all buckets are rewritten as one and older folders go.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    writer = totals.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+        spark, folder = batch.sparkSession, f"{path}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
+        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            cut_lineage(read_totals(spark, path)).write.mode("overwrite").parquet(folder)
+            for row in spark.read.parquet(path).select("batch").distinct().where(F.col("batch") < batch_id).collect():
+                drop_dir(spark, f"{path}/batch={row['batch']}")
+
+    writer = totals.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
 def read_totals(spark: SparkSession, path: str) -> DataFrame:
-    """The totals of the newest finished batch."""
-    batches = spark.read.parquet(path)
-    newest = batches.agg(F.max("batch").alias("batch"))
-    return batches.join(F.broadcast(newest), "batch").drop("batch")
+    """The totals of each bucket as of the newest batch that changed it."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in ("bucket", "batch")]
+    newest = rows.groupBy("bucket").agg(F.max_by(F.struct(*values), "batch").alias("v"))
+    return newest.select("bucket", *[F.col(f"v.{c}") for c in values])
 
 
 def stream_documents(spark: SparkSession, folder: str, prefix: str, suffix: str = ".pdf") -> DataFrame:

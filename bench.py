@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from acreledger.session import build_session
@@ -35,6 +36,7 @@ def main() -> None:
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "12g",
+            "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='bench-')}",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

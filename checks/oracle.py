@@ -35,7 +35,7 @@ def money(total: str, denom: int = 100) -> str:
 
 
 def number_text(value: str) -> str:
-    fixed = f"rtrim(CAST(CAST({value} AS DECIMAL(28,4)) AS VARCHAR), '0')"
+    fixed = f"rtrim(CAST(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,12)) AS VARCHAR), '0')"
     return f"CASE WHEN {fixed} LIKE '%.' THEN {fixed} || '0' ELSE {fixed} END"
 
 
@@ -200,12 +200,23 @@ SELECT c.*, coalesce(q.quantity_c, 0) AS quantity_c, year(c.post_date) AS year F
 LEFT JOIN l_quantities q ON q.tx_guid = c.tx_guid AND q.account_guid = c.account_guid AND q.inv_year = year(c.post_date)
 WHERE c.account_type NOT IN {CASH} AND c.action <> 'Payment'"""
 
-VIEWS["l_farm"] = f"""
+def _farm(clean: str) -> str:
+    return f"""
 SELECT * EXCLUDE (account_code, account_type, account_name),
   {farm_case("account_code", {"account_code LIKE '133%'": "301c", "account_code LIKE '134%'": "303b"})} AS account_code,
   {farm_case("account_type", {"account_code LIKE '133%' OR account_code LIKE '134%'": "INCOME", "account_code LIKE '146%' OR account_code LIKE '147%'": "EXPENSE", "account_code LIKE '9%'": "NF EXPENSE"})} AS account_type,
   {farm_case("account_name", {"account_code LIKE '133%'": "Corn", "account_code LIKE '134%'": "Soybeans"})} AS account_name
-FROM l_clean WHERE account_code NOT IN ('301c', '303b')"""
+FROM {clean} WHERE account_code NOT IN ('301c', '303b')"""
+
+
+VIEWS["l_farm"] = _farm("l_clean")
+# one year, cut before anything is joined
+VIEWS["l_year_cash"] = f"SELECT * FROM l_cash WHERE year(post_date) = {YEAR} AND account_type NOT IN {CASH} AND action <> 'Payment'"
+VIEWS["l_year_quantities"] = "SELECT tx_guid, account_guid, sum(quantity_num) AS quantity_c FROM l_year_lines GROUP BY ALL"
+VIEWS["l_year_clean"] = """
+SELECT c.*, coalesce(q.quantity_c, 0) AS quantity_c FROM l_year_cash c
+LEFT JOIN l_year_quantities q ON q.tx_guid = c.tx_guid AND q.account_guid = c.account_guid"""
+VIEWS["l_year_farm"] = _farm("l_year_clean")
 
 VIEWS["l_assets"] = """
 SELECT 'p' || CAST(p_partkey AS varchar) AS guid, p_name AS name, CAST(round(p_retailprice * 100) AS bigint) AS cost_c,
@@ -317,7 +328,7 @@ fixed AS (SELECT year, (SELECT amt_c FROM sums s WHERE s.year = y.year AND accou
 all_rows AS (SELECT year, 'INCOME' AS account, income AS amt_c, 10 AS o FROM fixed UNION ALL SELECT year, 'EXPENSE', expense, 20 FROM fixed
  UNION ALL SELECT year, 'OIBDA', income + expense, 30 FROM fixed
  UNION ALL SELECT year, account_type, amt_c, 100 FROM sums WHERE account_type NOT IN ('INCOME', 'EXPENSE'))
-SELECT year, account, amt_c FROM all_rows QUALIFY row_number() OVER (PARTITION BY year ORDER BY o, account) <= 5"""
+SELECT year, account, amt_c FROM all_rows"""
 
 VIEWS["l_yearly"] = """
 SELECT category, year(post_date) AS year, sum(amt_c) AS amt_c, sum(qty_c) AS qty_c FROM l_categories GROUP BY ALL"""
@@ -368,7 +379,7 @@ FROM l_splits s JOIN l_accounts a ON a.guid = s.account_guid JOIN l_transactions
     q["counter_flows"] = f"SELECT account_guid, {money('sum(amt_c)')} AS amt, {money('sum(qty_c)')} AS qty, count(*) AS row_count FROM l_cash WHERE account_type NOT IN {CASH} GROUP BY 1"
     q["cash_clean"] = f"""SELECT f.split_guid, f.src_guid, f.account_code, f.account_type, p.finpack_account, p.parent_accounts, CAST(f.post_date AS date) AS post_date,
  {money('f.amt_c')} AS amt, {money('f.quantity_c')} AS quantity FROM l_clean f {_PATH_JOIN} WHERE f.year = {YEAR}"""
-    q["reclassified"] = f"SELECT split_guid, src_guid, account_code, account_type, account_name, {money('amt_c')} AS amt, {money('quantity_c')} AS quantity FROM l_farm WHERE year = {YEAR}"
+    q["reclassified"] = f"SELECT split_guid, src_guid, account_code, account_type, account_name, {money('amt_c')} AS amt, {money('quantity_c')} AS quantity FROM l_year_farm"
     q["farm_with_depreciation"] = f"""SELECT account_code, finpack_account, CAST(round(sum(amt), 2) AS DOUBLE) AS amt, CAST(sum(quantity) AS DOUBLE) AS quantity, count(*) AS row_count FROM (
  SELECT f.account_code, p.finpack_account, CAST(f.amt_c AS DECIMAL(24,6)) / 100 AS amt0, CAST(CAST(f.amt_c AS DECIMAL(20,2)) * 0.01 AS DECIMAL(24,6)) AS amt, CAST(f.quantity_c AS DECIMAL(20,2)) * 0.01 AS quantity FROM l_farm f {_PATH_JOIN} WHERE f.year = {YEAR}
  UNION ALL SELECT '800', p.finpack_account, 0, CAST(d.amt AS DECIMAL(24,6)), 1 FROM l_depreciation d JOIN l_crops p ON p.guid = d.guid WHERE year(d.post_date) = {YEAR}) x GROUP BY 1, 2"""
@@ -377,7 +388,8 @@ FROM l_splits s JOIN l_accounts a ON a.guid = s.account_guid JOIN l_transactions
  d AS (SELECT sum(CAST(amt AS DECIMAL(24,6))) AS amt FROM l_depreciation WHERE year(post_date) = {YEAR}),
  i AS (SELECT (SELECT amt FROM s WHERE account_type = 'INCOME') AS inc, (SELECT amt FROM s WHERE account_type = 'EXPENSE') AS exp, (SELECT amt FROM d) AS dep)
 SELECT a AS "Account", CAST(round(CAST(v AS DECIMAL(38,6)), 2) AS DOUBLE) AS "Amount" FROM (SELECT 'INCOME' AS a, inc AS v FROM i UNION ALL SELECT 'EXPENSE', exp FROM i UNION ALL SELECT 'OIBDA', inc + exp FROM i
- UNION ALL SELECT 'DEPRECIATION', dep FROM i UNION ALL SELECT 'NET INCOME', inc + exp + dep FROM i) x"""
+ UNION ALL SELECT 'DEPRECIATION', dep FROM i UNION ALL SELECT 'NET INCOME', inc + exp + dep FROM i
+ UNION ALL SELECT account_type, amt FROM s WHERE account_type NOT IN ('INCOME', 'EXPENSE', 'DEPRECIATION')) x"""
     q["exec_by_year"] = 'SELECT year, account AS "Account", CAST(amt_c AS DOUBLE) / 100 AS "Amount" FROM l_exec'
     q["summary_by_account"] = f"SELECT account_code AS \"Code\", account_name AS \"Account\", {money('sum(quantity_c)')} AS \"Quantity\", {money('sum(amt_c)')} AS \"Amount\" FROM l_farm WHERE year = {YEAR} GROUP BY account_code, account_name"
     q["summary_by_ancestor"] = f"SELECT f.account_type AS \"Type\", p.finpack_account AS \"Account\", {money('sum(f.quantity_c)')} AS \"Quantity\", {money('sum(f.amt_c)')} AS \"Amount\" FROM l_farm f {_PATH_JOIN} WHERE f.year = {YEAR} GROUP BY 1, 2"

@@ -28,7 +28,7 @@ from acreledger.plans import (
     summary,
     tax,
 )
-from acreledger.session import new_work_dir
+from acreledger.session import cut_lineage, drop_dir, new_work_dir
 from acreledger.sources import files
 from acreledger.sources.ledger import discount_table, normalise_post_date
 from acreledger.sources.star import CROP_WORDS, URI_PREFIX, star_ledger
@@ -824,7 +824,9 @@ def _stream_totals(spark: SparkSession, folder: str, unit: str) -> DataFrame:
     work = new_work_dir(spark, f"totals-{unit}")
     totals = windows.windowed_totals(_event_stream(spark, folder), "ts", "cents", unit)
     windows.start_totals(totals, f"{work}/out", f"{work}/checkpoint", available_now=True).awaitTermination()
-    return windows.read_totals(spark, f"{work}/out")
+    result = cut_lineage(windows.read_totals(spark, f"{work}/out"))
+    drop_dir(spark, work)
+    return result
 
 
 @table_query
@@ -858,8 +860,11 @@ def stream_ingest(spark, folder):
     ingest.start_ingest(
         stream, target, f"{work}/checkpoint", _bids(ledger), _posting(ledger), ledger.notes,
         "Farmers Coop", URI_PREFIX, LOAD_LABELS, available_now=True,
+        locks=lambda: spark.createDataFrame([], "hostname string, pid bigint"),
     ).awaitTermination()
-    return target.read(spark, "splits").select("account_guid", "action", "value_num", "quantity_num")
+    result = cut_lineage(target.read(spark, "splits").select("account_guid", "action", "value_num", "quantity_num"))
+    drop_dir(spark, work)
+    return result
 
 
 @table_query

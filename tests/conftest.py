@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -21,6 +22,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='checkpoints-')}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

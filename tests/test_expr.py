@@ -27,7 +27,7 @@ def test_numeric_prefix(spark):
 
 def test_rational(spark):
     df = spark.createDataFrame([(0, 1, 3), (1, 5, 0), (2, -12345, 100), (3, None, 1)], "i int, n bigint, d bigint")
-    assert [None if v is None else float(v) for v in result(df, expr.rational("n", "d"))] == [0.3333, None, -123.45, None]
+    assert [None if v is None else float(v) for v in result(df, expr.rational("n", "d"))] == [0.333333333, None, -123.45, None]
 
 
 def test_year_ranges(spark):
@@ -118,3 +118,12 @@ def test_post_date_text(spark, text_date, expected):
 
     df = spark.createDataFrame([(text_date,)], "post_date string")
     assert normalise_post_date(df).collect()[0][0] == expected
+
+
+def test_rational_is_exact_for_fine_denominators(spark):
+    rows = [(1, 1000000), (1, 10**9), (9007199254740993, 100), (-5, 10**6), (9223372036854775807, 1), (7, 0)]
+    df = spark.createDataFrame(rows, "n long, d long")
+    from decimal import Decimal
+
+    got = [r[0] for r in df.select(expr.rational("n", "d")).collect()]
+    assert got == [None if d == 0 else Decimal(n) / Decimal(d) for n, d in rows]

@@ -69,3 +69,12 @@ def test_bucketed_splits_are_not_shuffled_again(spark, ledger_of, tmp_path):
     assert "Exchange hashpartitioning" not in plan
     spark.sql("drop table bucketed_splits")
     spark.sql("drop table bucketed_transactions")
+
+
+def test_declared_types_of_text_tables(spark):
+    rows = spark.createDataFrame(
+        [("g1", "2020-01-05 10:59:00", "7"), ("g2", "no time", "x"), ("g3", None, None)], "guid string, post_date string, num string"
+    )
+    got = src.declared(rows, "guid string, post_date timestamp, num bigint, description string", "America/Chicago").collect()
+    assert [str(r["post_date"]) for r in got] == ["2020-01-05 16:59:00", "None", "None"]
+    assert [r["num"] for r in got] == [7, None, None] and all(r["description"] is None for r in got)

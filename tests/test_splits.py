@@ -173,3 +173,24 @@ def test_identity_on_balanced_single_cash_books(ledger_of):
     paid = legs + [split(5, "c", "bank", -100), split(6, "c", "seed", 100, "Payment")]
     broken = ledger_of(accounts=ACCOUNTS, splits=paid, transactions=[tx("a"), tx("b"), tx("c")])
     assert not position.identity_check(broken, 2020).collect()[0]["balanced"]
+
+
+def test_years_restrict_both_sides_before_they_meet(spark, tmp_path):
+    from acreledger.plans.chart import CASH_TYPES
+    from acreledger.sources.ledger import load_ledger
+    from acreledger.sources.star import star_ledger
+    from acreledger.sources.ledger import write_ledger
+
+    star = star_ledger(spark, "/root/testdata/sf0.001")
+    write_ledger(star, str(tmp_path), ["accounts", "transactions", "splits"])
+    back = load_ledger(spark, str(tmp_path))
+    for df, sides in ((splits.counter_splits(back, CASH_TYPES, True, [1995]), 2), (splits.counter_flows(back, CASH_TYPES, [1995]), 2)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("1995-01-01") >= sides
+        scans = df._jdf.queryExecution().executedPlan().toString()
+        assert scans.count("(post_year") >= 2 * sides and "PartitionFilters: []" in scans  # accounts only
+    rows = lambda books: values(splits.counter_flows(books, CASH_TYPES, [1995]), "split_guid", "amt", "sources")
+    assert rows(back) == rows(star) and len(rows(back)) > 100
+    sums = lambda books: values(splits.account_totals(books, 1995), "account_guid", "amt", "splits")
+    assert sums(back) == sums(star)
+    listed = lambda books: values(splits.counter_splits(books, CASH_TYPES, True, [1995, 1997]), "split_guid", "src_guid", "amt")
+    assert listed(back) == listed(star)

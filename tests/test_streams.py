@@ -104,12 +104,43 @@ def test_locked_ledger_is_not_written(spark, ledger_of, world):
     assert target.read(spark, "transactions").count() == 1
 
 
-def test_repeat_lines_within_watermark(spark, tmp_path):
-    put(f"{tmp_path}/in", "XYDL1.csv", (1, "10/05/24 08:00:00", "CORN", 10), (1, "10/05/24 08:00:00", "CORN", 10), (1, "10/05/24 08:00:00", "CORN", 11))
-    stream = ingest.first_per_ticket(files.stream_load_files(spark, f"{tmp_path}/in", "XYDL"))
-    query = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+def test_one_batch_equals_one_file_per_batch(spark, world):
+    folder, run, target = world
+    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "CORN", 10), (1, "10/05/24 08:00:00", "CORN", 10))
+    put(folder, "XYDL2.csv", (1, "10/05/24 08:00:00", "CORN", 10), (2, "10/05/24 08:00:00", "CORN", 5))
+    os.utime(f"{folder}/XYDL1.csv", (1_000_000_000, 1_000_000_000))
+    run()
+    assert values(target.read(spark, "splits").where("action = 'Buy'"), "quantity_num") == [(2000,), (500,)]
+
+
+def test_stream_finds_columns_by_name(spark, world):
+    folder, run, target = world
+    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "CORN", 10))
+    lines = open(f"{folder}/XYDL1.csv").read().splitlines()
+    turned = [",".join(['"x, y"', *reversed(line.split(","))]) for line in lines]
+    with open(f"{folder}/XYDL2.csv", "w") as f:
+        f.write("\r\n".join(turned).replace("1", "2", 0).replace('"x, y"', "Extra", 1).replace("CORN", "CORN YEL") + "\r\n")
+    names = values(files.read_load_file(spark, f"{folder}/XYDL2.csv"), "ticket_number", "net_units")
+    stream = files.stream_load_files(spark, folder, "XYDL2")
+    query = stream.writeStream.format("parquet").option("path", f"{target.path}-out").option("checkpointLocation", f"{target.path}-cp").trigger(availableNow=True).start()
     query.awaitTermination()
-    assert values(spark.read.parquet(f"{tmp_path}/out"), "net_units") == [(10.0,), (11.0,)]
+    assert values(spark.read.parquet(f"{target.path}-out"), "ticket_number", "net_units") == names == [(1, 10.0)]
+
+
+def test_rejected_once_and_posted_later(spark, world):
+    folder, run, target = world
+    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "OATS", 10), (2, "10/05/24 08:00:00", "BEANS", 5))
+    run()
+    run("lost-checkpoint")
+    assert values(spark.read.parquet(f"{target.path}/rejected"), "num") == [("1",), ("2",)]
+    bids = spark.createDataFrame([("c2", "Beans", "USD", 10.0)], "commodity_guid string, crop string, currency_guid string, cash double")
+    posting = spark.createDataFrame([("c2", "from2", "to2")], "commodity_guid string, from_guid string, to_guid string")
+    crops = spark.createDataFrame([("2", "Beans"), ("1", None)], "num string, crop string")
+    notes = spark.createDataFrame([], "id string, title string")
+    for _ in range(2):
+        ingest.retry_rejected(spark, target, bids, posting, notes, crops, "app://")
+    assert values(target.read(spark, "transactions"), "num") == [("2",)]
+    assert values(target.read(spark, "splits"), "account_guid", "value_num") == [("from2", -5000), ("to2", 5000)]
 
 
 def test_batch_reader_trims_headers(spark, tmp_path):
@@ -131,6 +162,19 @@ def test_window_totals_match_calendar(spark, tmp_path):
     assert got == [(dt.date(2024, 1, 7), 9), (dt.date(2024, 1, 14), 8), (dt.date(2024, 1, 21), 15)]
 
 
+def test_late_rows_and_old_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(windows, "COMPACT_EVERY", 2)
+    for k, day in enumerate((1, 1, 20, 1, 20, 21)):
+        rows = spark.createDataFrame([(dt.datetime(2024, 1, day, 12), 10**k)], "ts timestamp, v bigint").coalesce(1)
+        rows.write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema("ts timestamp, v bigint").parquet(f"{tmp_path}/in")
+        totals = windows.windowed_totals(source, "ts", "v", "day")
+        windows.start_totals(totals, f"{tmp_path}/out", f"{tmp_path}/cp", available_now=True).awaitTermination()
+    got = values(windows.read_totals(spark, f"{tmp_path}/out"), "bucket", "total")
+    assert got == [(dt.date(2024, 1, 1), 11), (dt.date(2024, 1, 20), 10100), (dt.date(2024, 1, 21), 100000)]  # 1000 came too late
+    assert len([x for x in os.listdir(f"{tmp_path}/out") if x.startswith("batch=")]) <= 3
+
+
 def test_document_stream(spark, tmp_path):
     os.makedirs(f"{tmp_path}/in")
     for name in ("PDF_0012.pdf", "PDF_0300.pdf", "note.pdf"):

@@ -47,3 +47,18 @@ def test_notes_by_attribute(ledger_of):
     )
     got = {r["guid"]: r["account_notes"] for r in tree.all_accounts(ledger, ["Corn"], with_notes=True).collect()}
     assert got["e"] == "hello" and got["f"] is None and len(got) == 13
+
+
+def chain(n, top=None):
+    return [{"guid": f"n{i}", "name": f"N{i}", "parent_guid": f"n{i - 1}" if i else top} for i in range(n)]
+
+
+def test_deep_chains_and_a_cycle(ledger_of):
+    deep = chain(1000)
+    loop = [{"guid": f"c{i}", "name": f"C{i}", "parent_guid": f"c{(i + 1) % 3}"} for i in range(3)]
+    under = [{"guid": f"u{i}", "name": f"U{i}", "parent_guid": f"u{i - 1}" if i else "c0"} for i in range(100)]
+    out = tree.with_paths(ledger_of(accounts=deep + loop + under).accounts, level=4)
+    got = {r["guid"]: (r["parent_accounts"], r["finpack_account"], r["path_closed"]) for r in out.collect()}
+    for n in (70, 100, 999):
+        assert got[f"n{n}"] == (">".join(f"N{i}" for i in reversed(range(n))), "N3", True)
+    assert all(got[g] == (None, g.upper(), False) for g in ["c0", "c2", "u0", "u99"]) and len(got) == 1103
