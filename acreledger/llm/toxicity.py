@@ -26,6 +26,8 @@ from acreledger.session import cut_lineage
 from .buffers import slices, text_buffer
 
 TOKEN = re.compile(r"\w+")
+#: Partitions of the training sample.
+PARTS = 6
 #: Prefixes of words, marked as such, of these lengths are features beside whole words.
 PREFIXES = (4, 5, 6, 7, 8)
 #: English insults that name the first category of the query (fixed values).
@@ -137,7 +139,9 @@ def train_chain(
     mark = F.xxhash64(F.lit(7), F.col("key"))
     if count > most_rows:
         rows = rows.filter(F.pmod(mark, F.lit(1 << 20)) < int((1 << 20) * most_rows / count))
-    sample = cut_lineage(rows.withColumn("fold", F.pmod(F.shiftright(mark, 24), F.lit(folds)).cast("int")))
+    # the sample is bounded, so a fixed number of partitions holds it; each step of a fit is a job over them
+    folded = rows.withColumn("fold", F.pmod(F.shiftright(mark, 24), F.lit(folds)).cast("int"))
+    sample = cut_lineage(folded.repartition(PARTS))
     features = {name: k for k, name in enumerate(choose_features(sample, categories, most_features))}
     width = len(features)
 
