@@ -321,9 +321,10 @@ def remove_repeats(docs: DataFrame, folder: str, key: str = "doc_id", text: str
         return frame.astype({"key": "Int64"})
 
     sent = blocks.mapInPandas(send, "shard long, block string, path string, hashes binary, twice binary")
-    replies = cut_lineage(sent.groupBy("shard").applyInPandas(find, "shard long, block string, path string, shared binary"))
-    forwarded = replies.groupBy("block").applyInPandas(forward, "shard long, block string, sizes binary, texts binary, least binary")
-    results = forwarded.groupBy("shard").applyInPandas(sort, "block string, shard long, runs binary, sizes binary, minima binary")
+    # as many partitions as the bytes ask for, whatever the session's number is
+    replies = cut_lineage(sent.repartition(shards, "shard").groupBy("shard").applyInPandas(find, "shard long, block string, path string, shared binary"))
+    forwarded = replies.repartition(spread, "block").groupBy("block").applyInPandas(forward, "shard long, block string, sizes binary, texts binary, least binary")
+    results = forwarded.repartition(shards, "shard").groupBy("shard").applyInPandas(sort, "block string, shard long, runs binary, sizes binary, minima binary")
     nothing = [F.lit(None).cast("binary").alias(c) for c in ("runs", "sizes", "minima")]
     gathered = (
         replies.select("block", "shard", "path", "shared", *nothing)
@@ -331,5 +332,5 @@ def remove_repeats(docs: DataFrame, folder: str, key: str = "doc_id", text: str
         .union(results.select("block", "shard", F.lit(None).cast("string"), F.lit(None).cast("binary"), "runs", "sizes", "minima"))
     )
     schema = "key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<begin:bigint,end:bigint>>, kept_sha256 string, kept binary"
-    found = gathered.groupBy("block").applyInPandas(cut, schema).withColumnRenamed("key", key)
+    found = gathered.repartition(spread, "block").groupBy("block").applyInPandas(cut, schema).withColumnRenamed("key", key)
     return found if with_text else found.drop("kept")
