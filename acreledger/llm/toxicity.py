@@ -61,19 +61,26 @@ def choose_features(sample: DataFrame, categories: Sequence[str], most: int, lea
     """
     schema = "feature string, n bigint, " + ", ".join(f"p{k} bigint" for k in range(len(categories)))
 
+    names = ["feature", "n", *(f"p{k}" for k in range(len(categories)))]
+    digits = [1 << (32 * k) for k in range(len(categories) + 1)]  # a document's counts in one number
+
     def count(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[str, np.ndarray] = {}
+        total: Counter = Counter()
+
+        def rows() -> pd.DataFrame:
+            return pd.DataFrame([(k, *((v // d) % (1 << 32) for d in digits)) for k, v in total.items()], columns=names)
+
         for part in parts:
-            marks = part[list(categories)].to_numpy(dtype=np.int64)
+            marks = part[list(categories)].to_numpy(dtype=np.int64).tolist()
             for text, mark in zip(part["text"], marks, strict=True):
-                one = np.concatenate([[1], mark])
+                one = digits[0] + sum(d * m for d, m in zip(digits[1:], mark, strict=True))
                 for name in feature_counts(text or ""):
-                    total[name] = total[name] + one if name in total else one
+                    total[name] += one
             if len(total) > 300_000:
-                yield pd.DataFrame([(k, *v) for k, v in total.items()], columns=["feature", "n", *(f"p{k}" for k in range(len(categories)))])
-                total = {}
+                yield rows()
+                total.clear()
         if total:
-            yield pd.DataFrame([(k, *v) for k, v in total.items()], columns=["feature", "n", *(f"p{k}" for k in range(len(categories)))])
+            yield rows()
 
     sums = sample.select("text", *categories).mapInPandas(count, schema).groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(f"p{k}").alias(f"p{k}") for k in range(len(categories))])
     totals = sample.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in categories]).first()
@@ -125,7 +132,7 @@ def train_chain(
     most_features: int = 800,
     folds: int = 3,
     penalty: float = 0.003,
-    steps: int = 30,
+    steps: int = 15,
 ) -> Chain:
     """Fits the chain on rows with ``key``, ``text`` and a 0/1 column per category.
 
