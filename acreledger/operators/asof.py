@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def nearest(
     facts: DataFrame,
@@ -23,13 +25,12 @@ def nearest(
     the key has no point at all).
 
     Both sides are first reduced to one row per (key, time), which folds groups of
-    copies.  Windows then run per (key, ``bucket`` of time, by default the day).
+    copies.  Windows then run per (key, ``bucket``).  Without a given bucket the rows are
+    sorted into ranges of (key, time) of even size, and a range is a bucket, so neither
+    a key that holds a third of all rows nor a crowded day meets in one task.
     The last and first point of each bucket, one short row per bucket, carry the
-    search over bucket borders.  So a key holding a third of all rows is spread
-    over as many tasks as it has buckets.
+    search over bucket borders.
     """
-    if bucket is None:
-        bucket = F.to_date(F.col(time))
     moments = facts.where(F.col(time).isNotNull() & F.col(key).isNotNull()).select(key, time).distinct()
     best = (
         points.where(F.col(time).isNotNull() & F.col(key).isNotNull())
@@ -42,8 +43,12 @@ def nearest(
         moments.withColumn("point", F.lit(None).cast(point_type))
         .withColumn("asked", F.lit(True))
         .unionByName(best.withColumn("asked", F.lit(False)))
-        .withColumn("bucket", bucket)
     )
+    if bucket is None:
+        # the place of a row must not change between uses, hence the checkpoint
+        both = cut_lineage(both.repartitionByRange(key, time).withColumn("bucket", F.spark_partition_id()))
+    else:
+        both = both.withColumn("bucket", bucket)
 
     # "the next point" is "the last seen" in descending order: frames that grow from
     # the start of a partition take one step per row, open-ended ones rescan the rest

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import in_year, in_years, matches, ratio, rational, sum0
+from ..functions.expr import MONEY, in_year, in_years, matches, ratio, rational, sum0
 from ..functions.text import link_id
 from ..operators.tree import all_accounts
 from .chart import CAPITAL_PREFIX, CROPS, GRAIN_CODES, PAID_TOLERANCE
@@ -22,13 +22,13 @@ def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def _lines(ledger, kind: str) -> DataFrame:
-    """Entry lines of one kind under the common column names."""
+def _line(kind: str) -> Column:
+    """The columns of an entry as a line of one kind, under the common names."""
     bill = kind == "BILL"
     side = "b" if bill else "i"
     quantity = rational("quantity_num", "quantity_denom")
     price = rational(f"{side}_price_num", f"{side}_price_denom")
-    return ledger.entries.where(F.col("bill" if bill else "invoice").isNotNull()).select(
+    return F.struct(
         F.lit(kind).alias("inv_type"),
         F.col("bill" if bill else "invoice").alias("inv_guid"),
         F.col(f"{side}_acct").alias("account_guid"),
@@ -41,9 +41,7 @@ def _lines(ledger, kind: str) -> DataFrame:
         (_text("b_paytype") if bill else F.lit("0")).alias("paytype"),
         (F.lit("") if bill else F.col("i_disc_how")).alias("disc_how"),
         (F.lit("") if bill else F.col("i_disc_type")).alias("disc_type"),
-        (
-            F.lit(0).cast("decimal(18,4)") if bill else rational("i_discount_num", "i_discount_denom")
-        ).alias("disc_amt"),
+        (F.lit(0).cast(MONEY) if bill else rational("i_discount_num", "i_discount_denom")).alias("disc_amt"),
         _text(f"{side}_taxable").alias("taxable"),
         _text(f"{side}_taxincluded").alias("taxincluded"),
         F.col(f"{side}_taxtable").alias("taxtable"),
@@ -51,6 +49,13 @@ def _lines(ledger, kind: str) -> DataFrame:
     )
 
 
+def _lines(ledger) -> DataFrame:
+    """Entries as bill and invoice lines, from one pass over them."""
+    entries = ledger.entries.where(F.col("bill").isNotNull() | F.col("invoice").isNotNull())
+    kinds = F.array(_line("BILL"), _line("INVOICE"))
+    return entries.select(F.inline(F.filter(kinds, lambda line: line["inv_guid"].isNotNull())))
+
+
 def _parties(ledger) -> DataFrame:
     """Jobs with the name and notes of the vendor and of the customer that own them."""
     vendors = ledger.vendors.select(
@@ -123,7 +128,7 @@ def invoice_lines(
     primary keys, the kind separates both halves, and the attributes joined in are
     distinct per head.
     """
-    lines = _lines(ledger, "BILL").unionByName(_lines(ledger, "INVOICE"))
+    lines = _lines(ledger)
     accounts = ledger.accounts.select(
         F.col("guid").alias("account_guid"), F.col("code").alias("account_code"), F.col("name").alias("account_name")
     )
@@ -205,6 +210,7 @@ def contract_status(
         .withColumn("discount_amt", F.coalesce("discount_amt", F.lit(0)))
     )
     rest = F.abs(F.col("amount") + F.col("discount_amt") + F.col("payment_amt"))
+    # The labels of the report
     return settled.select(
         F.col("date_opened").alias("Contract Date"),
         F.col("date_posted").alias("Delivery Start"),

@@ -159,6 +159,7 @@ def flexible_lease(
         .withColumn("bonus", F.least("raw_bonus", "capped_bonus"))
         .withColumn("adj_rent", ratio(F.col("bonus") + F.col("amt"), acres, 2))
     )
+    # The labels of the report
     return steps.select(
         F.col("crop").alias("Crop"),
         F.col("operation").alias("Field"),

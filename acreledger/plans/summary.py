@@ -105,9 +105,11 @@ def with_icon(df: DataFrame, column: str = "Account") -> DataFrame:
     return df.withColumn("icon", icon_file(column))
 
 
-def transaction_details(tx: DataFrame) -> DataFrame:
+def transaction_details(tx: DataFrame, ordered: bool = False) -> DataFrame:
     """Detail rows and a total row per account, with the display label.
 
+    ``ordered`` sorts the report by account, year, date and source, totals last (O1).
+
     The total is dated December 31 of the report year, or of each row's year.
     """
     rows = tx.select(
@@ -122,10 +124,11 @@ def transaction_details(tx: DataFrame) -> DataFrame:
     )
     both = detail_with_totals(rows, ["account_code", "year"], ["Amount"])
     is_total = F.col("row_kind") == "total"
-    return both.withColumns(
+    rows = both.withColumns(
         {
             "Src": F.when(is_total, F.lit("Total")).otherwise(F.col("Src")),
             "Date": F.when(is_total, F.make_date("year", F.lit(12), F.lit(31))).otherwise(F.col("Date")),
         }
     )
+    return rows.orderBy("account_code", "year", "row_kind", "Date", "Src") if ordered else rows
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import re
 
+from acreledger.functions.text import STATEMENT_REWRITES
 from acreledger.plans.chart import CASH_TYPES
 from acreledger.sources.star import CROP_WORDS, STAGES, URI_PREFIX
 
-from .queries import DISCOUNTS, LEVEL, PRICE_YEAR, SHARES, YEAR, YEARS
+from .queries import DISCOUNTS, DOCUMENT_PREFIX, LEVEL, PRICE_YEAR, SHARES, YEAR, YEARS, statement_shops
 
 
 def in_list(values) -> str:
@@ -221,7 +222,7 @@ VIEWS["l_year_farm"] = _farm("l_year_clean")
 VIEWS["l_assets"] = """
 SELECT 'p' || CAST(p_partkey AS varchar) AS guid, p_name AS name, CAST(round(p_retailprice * 100) AS bigint) AS cost_c,
   CASE WHEN p_partkey % 20 = 0 THEN 5000 ELSE 0 END AS sec_c, CASE p_size % 3 WHEN 0 THEN 'MO S/L' WHEN 1 THEN 'HY 200DB' ELSE 'S/L' END AS method,
-  p_size % 5 + 3 AS term, p_size % 6 + 1994 AS year FROM part WHERE p_partkey % 10 = 0"""
+  p_size % 5 + 3 AS term, p_size % 6 + 1994 AS year FROM part"""
 
 _STEP = f"""CASE method WHEN 'MO S/L' THEN basis / (term * 2) WHEN 'HY 200DB' THEN
   CASE WHEN k + 1 = term THEN remaining WHEN k = 0 THEN 1.0 / term * remaining ELSE 2.0 / term * remaining END
@@ -366,7 +367,7 @@ def oracles() -> dict[str, str]:
     q["account_descriptor"] = """SELECT c.guid, c.crop, CASE WHEN p.p_partkey IS NOT NULL THEN E'[Depreciation]\\nCost = ' || CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS varchar) || E'\\nSec_179 = ' || CASE WHEN p_partkey % 20 = 0 THEN '50.00' ELSE '0.00' END
  || E'\\nDepreciation_Type = "Other"\\nMethod = "' || CASE p_size % 3 WHEN 0 THEN 'MO S/L' WHEN 1 THEN 'HY 200DB' ELSE 'S/L' END || E'"\\nYears = ' || CAST(p_size % 5 + 3 AS varchar)
  || E'\\nDate_in_Service = ' || CAST(p_size % 6 + 1994 AS varchar) || E'-12-27T08:00:00-06:00\\n' END AS account_notes
-FROM l_crops c LEFT JOIN part p ON c.guid = 'p' || CAST(p.p_partkey AS varchar) AND p.p_partkey % 10 = 0"""
+FROM l_crops c LEFT JOIN part p ON c.guid = 'p' || CAST(p.p_partkey AS varchar)"""
     q["accounts_by_term"] = "SELECT commodity_guid, guid FROM l_paths WHERE name LIKE '%PROMO%' OR name LIKE '%red%' OR parent_accounts LIKE '%PROMO%' OR parent_accounts LIKE '%red%'"
     q["accounts_of_type"] = f"SELECT guid FROM l_accounts WHERE account_type IN {CASH}"
     q["all_transactions"] = """SELECT s.guid AS split_guid, s.tx_guid, a.name AS account_name, a.code AS account_code, a.description AS account_desc, t.num AS tx_num, t.description,
@@ -501,16 +502,21 @@ SELECT d.split_action, d.bucket, CAST(coalesce(f.c, 0) AS DOUBLE) / 100 AS amt F
     q["ticket_notes"] = "SELECT CAST(o_orderkey AS varchar) AS num, 'n' || CAST(event_id AS varchar) AS note_id FROM orders JOIN events ON event_id = o_orderkey"
     q["anti_existing"] = f"SELECT num, crop, CAST(net_units AS DOUBLE) AS net_units FROM l_tickets WHERE num NOT IN (SELECT num FROM l_transactions WHERE year(post_date) = {YEAR})"
     q["semi_existing"] = "SELECT num, guid, description FROM l_transactions WHERE num IN (SELECT num FROM l_tickets WHERE crop = 'ring')"
-    shops = ["Amazon.com*A1B2,Shopping,", "AMZN Mktp US*Z9,Shopping,", "F&amp;F WRTHNGTN 5897,Gas,", "DisneyPLUS,Bills & Utilities,", "SHETEK DENTAL CARE,Health & Wellness,", "VZWRLSS*APOCC VISN,Bills & Utilities,", "USPS PO 2687300672,Shopping,", "Columbia Sportswear US,Shopping,"]
+    shops = statement_shops()
     arms = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(shops))
     line = "regexp_replace(regexp_replace(line, '(Amazon.com\\*)[^,\\n]*,', '\\1,', 'g'), '(AMZN Mktp US\\*)[^,\\n]*,', '\\1,', 'g')"
-    for find, put in [("AMZN Mktp US", "Amazon.com"), ("Amazon.com*,Shopping,", "Amazon,Liabilities:Short Term Liabilities:Amazon,"), ("F&amp;F WRTHNGTN 5897", "Fuel"), ("DisneyPLUS,Bills & Utilities,", "DisneyPLUS,Movies,"),
-                      ("SHETEK DENTAL CARE,Health & Wellness,", "Shetek Dental,Dental,"), ("VZWRLSS*APOCC VISN,Bills & Utilities,", "Verizon,Phone,"), ("Columbia Sportswear US,Shopping,", "Columbia Sportswear US,Clothing,"),
-                      ("USPS PO 2687300672,Shopping,", "USPS,Shipping,"), ("THRIFTY WHITE PHARM 774,Health & Wellness,", "Thrifty White,Pharmacy,")]:
+    for find, put in [(step.find, step.put) for step in STATEMENT_REWRITES if not step.regex]:
         line = f"replace({line}, '{find}', '{put}')"
-    q["scrub_text"] = f"""SELECT line_id, md5({line}) AS line_md5 FROM (SELECT 'o' || CAST(o_orderkey AS varchar) AS line_id, CAST(o_orderkey AS varchar) || ',' || CASE o_orderkey % 8 {arms} END || 'Sale' AS line FROM orders
+    q["scrub_text"] = f"""SELECT line_id, md5({line}) AS line_md5 FROM (SELECT 'o' || CAST(o_orderkey AS varchar) AS line_id, CAST(o_orderkey AS varchar) || ',' || CASE o_orderkey % {len(shops)} {arms} END || 'Sale' AS line FROM orders
  UNION ALL SELECT 'd' || CAST(doc_id AS varchar), text FROM documents) x"""
-    name = "'PDF_D_0015456_0099_' || lpad(CAST(doc_id AS varchar), 9, '0') || '.pdf'"
+    q["statement_file"] = f"SELECT md5({line}) AS line_md5 FROM (SELECT CAST(o_orderkey AS varchar) || ',' || CASE o_orderkey % {len(shops)} {arms} END || 'Sale' AS line FROM orders) x"
+    q["sink_csv"] = q["cash_by_source"]
+    q["sink_sheets"] = q["interest_by_payee"]
+    q["sink_by_crop"] = q["rent_and_yield"]
+    q["second_ledger"] = "SELECT 'business' AS books, * FROM (" + totals + " GROUP BY ALL) a UNION ALL SELECT 'personal', * FROM (" + totals + " JOIN l_transactions t ON t.guid = s.tx_guid WHERE t.num LIKE '%7' GROUP BY ALL) b"
+    q["machine_file"] = f"SELECT {machine} FROM l_machine GROUP BY 1, 2"
+    q["detail_ordered"] = q["detail_with_totals"]
+    name = f"'{DOCUMENT_PREFIX}' || lpad(CAST(doc_id AS varchar), 9, '0') || '.pdf'"
     ticket = "ltrim(lpad(CAST(doc_id AS varchar), 9, '0') || '.pdf', '0')"
     q["document_tickets"] = f"SELECT '/in/box/' || {name} AS path, {ticket} AS ticket, 'Scale Ticket ' || {ticket} AS title FROM documents"
     q["post_date_text"] = "SELECT guid, CASE WHEN num NOT LIKE '%7' THEN strftime(CAST(post_date AS date), '%Y-%m-%d 00:00:00') END AS post_date FROM l_transactions"

@@ -30,7 +30,13 @@ from acreledger.plans import (
 )
 from acreledger.session import cut_lineage, drop_dir, new_work_dir
 from acreledger.sources import files
-from acreledger.sources.ledger import discount_table, normalise_post_date
+from acreledger.sources.ledger import (
+    discount_table,
+    normalise_post_date,
+    write_csv,
+    write_partitioned,
+    write_sheets,
+)
 from acreledger.sources.star import CROP_WORDS, URI_PREFIX, star_ledger
 from acreledger.streaming import ingest, windows
 
@@ -41,7 +47,8 @@ LEVEL = 3
 SHARES = 500.0
 DISCOUNTS = {"Assets": 80, "Liabilities": 100, "Cash": 70, "Grain": 70}
 LOAD_LABELS = {"CORN": "ring", "BEANS": "widget"}
-LOAD_PREFIX = "XYDL"
+LOAD_PREFIX = "LOADS"
+DOCUMENT_PREFIX = "SCAN_7_"
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -737,19 +744,17 @@ def ticket_notes(ledger):
 # --- text ----------------------------------------------------------------------
 
 
+def statement_shops() -> list[str]:
+    """One entry per rewrite step: the text that the step looks for, with what it needs around it."""
+    plain = [step.find for step in text.STATEMENT_REWRITES if not step.regex]
+    starred = [step.find.split("<=")[1].split(r"\*")[0] + "*A1,Shopping," for step in text.STATEMENT_REWRITES if step.regex]
+    return [x if x.endswith(",") else f"{x},Shopping," for x in [*starred, *plain]]
+
+
 def statement_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Card statement lines made from orders, and every document text as a line."""
-    shops = [
-        "Amazon.com*A1B2,Shopping,",
-        "AMZN Mktp US*Z9,Shopping,",
-        "F&amp;F WRTHNGTN 5897,Gas,",
-        "DisneyPLUS,Bills & Utilities,",
-        "SHETEK DENTAL CARE,Health & Wellness,",
-        "VZWRLSS*APOCC VISN,Bills & Utilities,",
-        "USPS PO 2687300672,Shopping,",
-        "Columbia Sportswear US,Shopping,",
-    ]
-    shop = F.element_at(F.array(*[F.lit(s) for s in shops]), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    shops = statement_shops()
+    shop = F.element_at(F.array(*[F.lit(s) for s in shops]), (F.col("o_orderkey") % len(shops) + 1).cast("int"))
     orders = spark.read.parquet(f"{folder}/orders.parquet").select(
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("line_id"),
         F.concat(F.col("o_orderkey").cast("string"), F.lit(","), shop, F.lit("Sale")).alias("line"),
@@ -766,10 +771,89 @@ def scrub_text(spark, folder):
     return text.scrub_statement(statement_lines(spark, folder)).select("line_id", F.md5("line").alias("line_md5"))
 
 
+@table_query
+def statement_file(spark, folder):
+    """SC7: statement lines of orders written as a text file and read back"""
+    work = new_work_dir(spark, "statement")
+    lines = statement_lines(spark, folder).where(F.col("line_id").startswith("o"))
+    lines.select("line").write.text(f"{work}/lines")
+    read = files.read_statement_lines(spark, f"{work}/lines")
+    result = cut_lineage(text.scrub_statement(read).select(F.md5("line").alias("line_md5")))
+    drop_dir(spark, work)
+    return result
+
+
+@table_query
+def sink_csv(spark, folder):
+    """SK1 SK2: cash by source written as CSV and read back"""
+    work = new_work_dir(spark, "csv")
+    table = plain(position.cash_by_source(star_ledger(spark, folder), YEAR))
+    write_csv(table, f"{work}/cash")
+    read = spark.read.schema(table.schema).option("header", True).option("emptyValue", "").option("nullValue", None)
+    result = cut_lineage(read.csv(f"{work}/cash"))
+    drop_dir(spark, work)
+    return result
+
+
+@table_query
+def sink_sheets(spark, folder):
+    """SK4: the sheets of the interest report, one folder each"""
+    work = new_work_dir(spark, "sheets")
+    write_sheets(tax.interest_payments(star_ledger(spark, folder), YEAR, "%rEd%"), work)
+    result = cut_lineage(spark.read.parquet(f"{work}/Totals"))
+    drop_dir(spark, work)
+    return result
+
+
+@table_query
+def sink_by_crop(spark, folder):
+    """SK4: production with one folder per crop"""
+    work = new_work_dir(spark, "crops")
+    grown = REGISTRY["rent_and_yield"](spark, folder)
+    write_partitioned(grown, f"{work}/out", "crop")
+    result = cut_lineage(spark.read.schema(grown.schema).parquet(f"{work}/out").select(*grown.columns))
+    drop_dir(spark, work)
+    return result
+
+
+@table_query
+def machine_file(spark, folder):
+    """SC6: machine data written as CSV and read back"""
+    work = new_work_dir(spark, "machine")
+    write_csv(star_ledger(spark, folder).machine, f"{work}/machine")
+    machine = production.machine_yield(files.read_machine_yield(spark, f"{work}/machine"))
+    result = cut_lineage(machine.withColumn("Date", F.to_date("Date")))
+    drop_dir(spark, work)
+    return result
+
+
+@table_query
+def second_ledger(spark, folder):
+    """SC2: two book sets in one report; the second holds the transactions with numbers ending in 7"""
+    business = star_ledger(spark, folder)
+    own = business.transactions.where(F.col("num").endswith("7"))
+    tables = {
+        "accounts": business.accounts,
+        "transactions": own,
+        "splits": business.splits.join(own.select(F.col("guid").alias("tx_guid")), "tx_guid", "left_semi"),
+    }
+    books = {"business": business, "personal": Ledger(tables)}
+    named = [splits.account_totals(b).select(F.lit(n).alias("books"), "*") for n, b in books.items()]
+    return named[0].unionByName(named[1])
+
+
+@query
+def detail_ordered(ledger):
+    """O1: transaction details in report order"""
+    return summary.transaction_details(
+        cash.farm_cash_transactions(ledger, [YEAR], quantity=False, paths=False), ordered=True
+    )
+
+
 @table_query
 def document_tickets(spark, folder):
     """ST6 S12: ticket number and title from document file names"""
-    prefix = "PDF_D_0015456_0099_"
+    prefix = DOCUMENT_PREFIX
     paths = spark.read.parquet(f"{folder}/documents.parquet").select(
         F.concat(
             F.lit("/in/box/"), F.lit(prefix), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".pdf")

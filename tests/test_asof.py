@@ -75,3 +75,24 @@ def test_single_lookup_prefers_guid(ledger_of):
     assert values(prices.nearest_commodity_bid(ledger, "g1", "2024-01-06"), "cash") == [(4.0,)], "tie: earlier"
     assert prices.nearest_commodity_bid(ledger, "rye", "2024-01-06").count() == 0
     assert values(prices.bids_of_commodities(ledger, ["Corn"]), "guid") == [("p1",), ("p2",), ("p3",), ("p7",)]
+
+
+def test_a_crowded_day_of_one_key_is_spread(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    at = np.sort(rng.choice(86_400_000, 60_000, replace=False))
+    asked = rng.integers(0, 86_400_000, 5_000)
+    stamp = lambda ms: BASE + dt.timedelta(milliseconds=int(ms))
+    points = spark.createDataFrame([("hot", stamp(t), int(t), str(t)) for t in at], "k string, ts timestamp_ntz, v long, tie string")
+    facts = spark.createDataFrame([(i, "hot", stamp(t)) for i, t in enumerate(asked)], "id long, k string, ts timestamp_ntz")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = nearest(facts, points, "k", "ts", "v", "tie")
+        got = {r["id"]: r["near_v"] for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    right = np.minimum(np.searchsorted(at, asked), len(at) - 1)
+    left = np.maximum(right - 1, 0)
+    want = np.where(np.abs(at[left] - asked) <= np.abs(at[right] - asked), at[left], at[right])
+    assert all(got[i] == want[i] for i in range(len(asked)))

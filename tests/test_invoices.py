@@ -152,3 +152,11 @@ def test_machine_yield(spark):
     both = {r["Farm"]: r for r in production.production_vs_machine(machine, grown).collect()}
     assert both["F"]["New Bushels"] == 400.0 and both["F"]["Bu/Total Acres"] == 125.0
     assert both["G"]["Bushels"] == 0.0 and both["G"]["Bu/Acres Worked"] is None
+
+
+def test_invoice_report_scans_the_entries_once(spark):
+    from acreledger.plans import invoices
+    from acreledger.sources.star import star_ledger
+
+    plan = invoices._lines(star_ledger(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1

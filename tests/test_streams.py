@@ -30,7 +30,7 @@ def world(spark, ledger_of, tmp_path):
     target = ingest.IngestTarget(f"{tmp_path}/ledger")
 
     def run(checkpoint="one", locks=None, **options):
-        stream = files.stream_load_files(spark, f"{tmp_path}/in", "XYDL", **options)
+        stream = files.stream_load_files(spark, f"{tmp_path}/in", "LOADS", **options)
         query = ingest.start_ingest(stream, target, f"{tmp_path}/{checkpoint}", bids, posting, notes, "Coop", "app://",
                                     locks=locks, available_now=True)
         query.awaitTermination()
@@ -41,7 +41,7 @@ def world(spark, ledger_of, tmp_path):
 
 def test_ingest_writes_balanced_entries_once(spark, world):
     folder, run, target = world
-    put(folder, "XYDL1.csv", (7, "10/05/24 08:00:00", "CORN YEL", 100.5), (7, "10/05/24 08:00:00", "CORN YEL", 50), (8, "10/05/24 09:00:00", "CORN", 10))
+    put(folder, "LOADS1.csv", (7, "10/05/24 08:00:00", "CORN YEL", 100.5), (7, "10/05/24 08:00:00", "CORN YEL", 50), (8, "10/05/24 09:00:00", "CORN", 10))
     put(folder, "other.csv", (99, "10/05/24 08:00:00", "CORN", 1))
     run()
     assert values(target.read(spark, "transactions"), "num", "post_date", "description") == [
@@ -52,7 +52,7 @@ def test_ingest_writes_balanced_entries_once(spark, world):
     assert unbalanced(target.read(spark, "splits")).isEmpty()
     assert values(target.read(spark, "slots"), "name", "string_val") == [("assoc_uri", "app://n7")]
     before = {t: values(target.read(spark, t), "guid") for t in ("transactions", "splits")}
-    put(folder, "XYDL2.csv", (8, "10/05/24 09:00:00", "CORN", 10), (9, "10/06/24 09:00:00", "CORN", 1))
+    put(folder, "LOADS2.csv", (8, "10/05/24 09:00:00", "CORN", 10), (9, "10/06/24 09:00:00", "CORN", 1))
     run()
     assert len(values(target.read(spark, "transactions"), "num")) == 3
     run("lost-checkpoint")
@@ -63,22 +63,22 @@ def test_ingest_writes_balanced_entries_once(spark, world):
 
 def test_two_files_same_ticket_in_separate_batches(spark, world):
     folder, run, target = world
-    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "CORN", 10))
-    put(folder, "XYDL2.csv", (1, "10/05/24 08:00:00", "CORN", 10), (2, "10/05/24 08:00:00", "CORN", 5))
+    put(folder, "LOADS1.csv", (1, "10/05/24 08:00:00", "CORN", 10))
+    put(folder, "LOADS2.csv", (1, "10/05/24 08:00:00", "CORN", 10), (2, "10/05/24 08:00:00", "CORN", 5))
     run(files_per_trigger=1)
     assert values(target.read(spark, "transactions"), "num") == [("1",), ("2",)]
 
 
 def test_partial_write_is_completed(spark, world):
     folder, run, target = world
-    put(folder, "XYDL1.csv", (7, "10/05/24 08:00:00", "CORN", 10))
+    put(folder, "LOADS1.csv", (7, "10/05/24 08:00:00", "CORN", 10))
     run("first")
     splits = target.read(spark, "splits").collect()
     other = ingest.IngestTarget(target.path + "-broken")
     other.append(spark.createDataFrame(splits[:1], target.read(spark, "splits").schema), "splits")
     bids = spark.createDataFrame([("c1", "Corn", "USD", 4.005)], "commodity_guid string, crop string, currency_guid string, cash double")
     posting = spark.createDataFrame([("c1", "from1", "to1")], "commodity_guid string, from_guid string, to_guid string")
-    batch = files.read_load_file(spark, f"{folder}/XYDL1.csv")
+    batch = files.read_load_file(spark, f"{folder}/LOADS1.csv")
     for _ in range(2):
         ingest.append_batch(spark, batch, other, bids, posting, spark.createDataFrame([], "id string, title string"), "Coop", "app://")
     assert len(values(other.read(spark, "splits"), "guid")) == 2
@@ -87,7 +87,7 @@ def test_partial_write_is_completed(spark, world):
 
 def test_unpostable_loads_are_kept_aside(spark, world):
     folder, run, target = world
-    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "OATS", 10), (2, "10/05/24 08:00:00", "BEANS", 5), (3, "10/05/24 08:00:00", "CORN", 5))
+    put(folder, "LOADS1.csv", (1, "10/05/24 08:00:00", "OATS", 10), (2, "10/05/24 08:00:00", "BEANS", 5), (3, "10/05/24 08:00:00", "CORN", 5))
     run()
     assert values(target.read(spark, "transactions"), "num") == [("3",)]
     assert values(spark.read.parquet(f"{target.path}/rejected"), "num") == [("1",), ("2",)]
@@ -95,7 +95,7 @@ def test_unpostable_loads_are_kept_aside(spark, world):
 
 def test_locked_ledger_is_not_written(spark, ledger_of, world):
     folder, run, target = world
-    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "CORN", 10))
+    put(folder, "LOADS1.csv", (1, "10/05/24 08:00:00", "CORN", 10))
     locks = ledger_of(locks=[{"hostname": "pc", "pid": 1}]).locks
     with pytest.raises(Exception, match="locked"):
         run(locks=lambda: locks)
@@ -106,22 +106,22 @@ def test_locked_ledger_is_not_written(spark, ledger_of, world):
 
 def test_one_batch_equals_one_file_per_batch(spark, world):
     folder, run, target = world
-    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "CORN", 10), (1, "10/05/24 08:00:00", "CORN", 10))
-    put(folder, "XYDL2.csv", (1, "10/05/24 08:00:00", "CORN", 10), (2, "10/05/24 08:00:00", "CORN", 5))
-    os.utime(f"{folder}/XYDL1.csv", (1_000_000_000, 1_000_000_000))
+    put(folder, "LOADS1.csv", (1, "10/05/24 08:00:00", "CORN", 10), (1, "10/05/24 08:00:00", "CORN", 10))
+    put(folder, "LOADS2.csv", (1, "10/05/24 08:00:00", "CORN", 10), (2, "10/05/24 08:00:00", "CORN", 5))
+    os.utime(f"{folder}/LOADS1.csv", (1_000_000_000, 1_000_000_000))
     run()
     assert values(target.read(spark, "splits").where("action = 'Buy'"), "quantity_num") == [(2000,), (500,)]
 
 
 def test_stream_finds_columns_by_name(spark, world):
     folder, run, target = world
-    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "CORN", 10))
-    lines = open(f"{folder}/XYDL1.csv").read().splitlines()
+    put(folder, "LOADS1.csv", (1, "10/05/24 08:00:00", "CORN", 10))
+    lines = open(f"{folder}/LOADS1.csv").read().splitlines()
     turned = [",".join(['"x, y"', *reversed(line.split(","))]) for line in lines]
-    with open(f"{folder}/XYDL2.csv", "w") as f:
+    with open(f"{folder}/LOADS2.csv", "w") as f:
         f.write("\r\n".join(turned).replace("1", "2", 0).replace('"x, y"', "Extra", 1).replace("CORN", "CORN YEL") + "\r\n")
-    names = values(files.read_load_file(spark, f"{folder}/XYDL2.csv"), "ticket_number", "net_units")
-    stream = files.stream_load_files(spark, folder, "XYDL2")
+    names = values(files.read_load_file(spark, f"{folder}/LOADS2.csv"), "ticket_number", "net_units")
+    stream = files.stream_load_files(spark, folder, "LOADS2")
     query = stream.writeStream.format("parquet").option("path", f"{target.path}-out").option("checkpointLocation", f"{target.path}-cp").trigger(availableNow=True).start()
     query.awaitTermination()
     assert values(spark.read.parquet(f"{target.path}-out"), "ticket_number", "net_units") == names == [(1, 10.0)]
@@ -129,7 +129,7 @@ def test_stream_finds_columns_by_name(spark, world):
 
 def test_rejected_once_and_posted_later(spark, world):
     folder, run, target = world
-    put(folder, "XYDL1.csv", (1, "10/05/24 08:00:00", "OATS", 10), (2, "10/05/24 08:00:00", "BEANS", 5))
+    put(folder, "LOADS1.csv", (1, "10/05/24 08:00:00", "OATS", 10), (2, "10/05/24 08:00:00", "BEANS", 5))
     run()
     run("lost-checkpoint")
     assert values(spark.read.parquet(f"{target.path}/rejected"), "num") == [("1",), ("2",)]
@@ -144,10 +144,10 @@ def test_rejected_once_and_posted_later(spark, world):
 
 
 def test_batch_reader_trims_headers(spark, tmp_path):
-    put(f"{tmp_path}", "XYDL1.csv", (1, "10/05/24 08:00:00", "CORN", 10), (2, "bad", "CORN", 10))
-    got = values(files.read_load_file(spark, f"{tmp_path}/XYDL1.csv"), "ticket_number", "tare_time", "net_units")
+    put(f"{tmp_path}", "LOADS1.csv", (1, "10/05/24 08:00:00", "CORN", 10), (2, "bad", "CORN", 10))
+    got = values(files.read_load_file(spark, f"{tmp_path}/LOADS1.csv"), "ticket_number", "tare_time", "net_units")
     assert got == [(1, dt.datetime(2024, 10, 5, 8), 10.0), (2, None, 10.0)]
-    assert loads.tickets(files.read_load_file(spark, f"{tmp_path}/XYDL1.csv")).count() == 1
+    assert loads.tickets(files.read_load_file(spark, f"{tmp_path}/LOADS1.csv")).count() == 1
 
 
 def test_window_totals_match_calendar(spark, tmp_path):
@@ -177,10 +177,10 @@ def test_late_rows_and_old_folders(spark, tmp_path, monkeypatch):
 
 def test_document_stream(spark, tmp_path):
     os.makedirs(f"{tmp_path}/in")
-    for name in ("PDF_0012.pdf", "PDF_0300.pdf", "note.pdf"):
+    for name in ("SCAN_0012.pdf", "SCAN_0300.pdf", "note.pdf"):
         with open(f"{tmp_path}/in/{name}", "wb") as f:
             f.write(b"%PDF")
-    query = windows.stream_documents(spark, f"{tmp_path}/in", "PDF_").writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+    query = windows.stream_documents(spark, f"{tmp_path}/in", "SCAN_").writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
         "checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
     query.awaitTermination()
     assert values(spark.read.parquet(f"{tmp_path}/out"), "title") == [("Scale Ticket 12.pdf",), ("Scale Ticket 300.pdf",)]
