@@ -89,7 +89,8 @@ def repeats(length: int = 50) -> str:
     """Passages as 64-bit hashes of hexadecimal substrings; removed bytes are those near a passage with a smaller owner."""
     return f"""
 WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(doc_id, 9223372036854775807) AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT id, k, i, hash(substr(h, CAST(2 * i + 1 AS INT), {2 * length})) AS g FROM (SELECT id, k, h, unnest(range(0, len(h) // 2 - {length - 1})) AS i FROM d WHERE len(h) >= {2 * length})),
+parts AS (SELECT id, k, p, len(h) // 2 - {length - 1} AS n, substr(h, CAST(1000 * p + 1 AS INT), {1000 + 2 * length}) AS h FROM (SELECT id, k, h, unnest(range(0, (len(h) // 2 - {length}) // 500 + 1)) AS p FROM d WHERE len(h) >= {2 * length})),
+w AS (SELECT id, k, 500 * p + j AS i, hash(substr(h, CAST(2 * j + 1 AS INT), {2 * length})) AS g FROM (SELECT id, k, p, h, unnest(range(0, least(500, n - 500 * p))) AS j FROM parts)),
 low AS (SELECT g, min(k) AS m FROM w GROUP BY g HAVING min(k) < max(k)),
 hit AS (SELECT w.id, w.i FROM w JOIN low ON low.g = w.g WHERE low.m < w.k),
 steps AS (SELECT id, i, coalesce(i > max(i) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + {length}, true) AS fresh FROM hit),
