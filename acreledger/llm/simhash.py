@@ -25,8 +25,8 @@ from .components import components
 
 SEED = 42
 FAN_OUT = 8
-#: Queries that walk the tree together.
-CHUNK = 2048
+#: Queries that walk the tree together, and pairs of queries and nodes that are looked at in one step.
+CHUNK, PAIRS = 2048, 1 << 19
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -97,30 +97,43 @@ class GrayTree:
             self.levels.append((shared & ~above, low))
             above = shared
 
-    def within(self, queries: np.ndarray, most: int, label: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (place of the query, place of the fingerprint) that differ in at most ``most`` bits.
+    def within(self, queries: np.ndarray, most: int, label: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (place of the query, place of the fingerprint) that differ in at most ``most`` bits, in blocks.
 
-        ``own`` are labels of the fingerprints, ``label`` those of the queries.  A group whose fingerprints all
-        have the query's label is left too: it could add no new link.
+        ``label`` holds a group number for every place, fingerprints first, and may change between blocks;
+        ``places`` are those of the queries.  A node whose fingerprints all have the query's label is left too,
+        as it could add no new link.  The search goes down in pieces of at most ``PAIRS`` pairs, so its memory
+        does not depend on how many fingerprints lie close together.
         """
-        lows, highs = [own], [own]
+        lows = [label[: len(self.levels[-1][0])].copy()]
+        highs = [lows[0]]
         while len(lows[-1]) > 1:
             at = np.arange(0, len(lows[-1]), FAN_OUT)
             lows.append(np.minimum.reduceat(lows[-1], at))
             highs.append(np.maximum.reduceat(highs[-1], at))
-        query = np.arange(len(queries))
-        node = np.zeros(len(query), dtype=np.int64)
-        gone = np.zeros(len(query), dtype=np.uint8)
-        for depth, ((mask, bits), low, high) in enumerate(zip(self.levels, reversed(lows), reversed(highs), strict=True)):
+        lows, highs = lows[::-1], highs[::-1]
+        last = len(self.levels) - 1
+        todo = [(0, np.arange(len(queries)), np.zeros(len(queries), dtype=np.int64), np.zeros(len(queries), dtype=np.uint8))]
+        while todo:
+            depth, query, node, gone = todo.pop()
             if depth:
+                if len(query) > 1 and len(query) * FAN_OUT > PAIRS:
+                    half = len(query) // 2
+                    todo += [(depth, query[half:], node[half:], gone[half:]), (depth, query[:half], node[:half], gone[:half])]
+                    continue
                 query, gone = np.repeat(query, FAN_OUT), np.repeat(gone, FAN_OUT)
                 node = (node[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
-                real = node < len(mask)
+                real = node < len(lows[depth])
                 query, gone, node = query[real], gone[real], node[real]
+            mask, bits = self.levels[depth]
             gone = gone + np.bitwise_count((queries[query] ^ bits[node]) & mask[node])
-            near = (gone <= most) & ((low[node] != label[query]) | (high[node] != label[query]))
+            mine = label[places[query]]
+            near = (gone <= most) & ((lows[depth][node] != mine) | (highs[depth][node] != mine))
             query, gone, node = query[near], gone[near], node[near]
-        return query, node
+            if depth == last:
+                yield places[query], node
+            elif len(query):
+                todo.append((depth + 1, query, node, gone))
 
 
 def spanning_links(own: np.ndarray, everyone: np.ndarray, most: int, agree=None) -> tuple[np.ndarray, np.ndarray]:
@@ -132,20 +145,23 @@ def spanning_links(own: np.ndarray, everyone: np.ndarray, most: int, agree=None)
     tree, label = GrayTree(own), np.arange(len(everyone))
     at, size = 0, 16
     while at < len(everyone):
-        part = slice(at, min(at + size, len(everyone)))
-        a, b = tree.within(everyone[part], most, label[part], label[: len(own)])
-        a = a + at
-        if agree is not None:
-            fine = agree(a, b)
-            a, b = a[fine], b[fine]
-        while len(a):
-            x, y = label[a], label[b]
-            apart = x != y
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-            while not np.array_equal(up := label[label], label):
-                label = up
-        at, size = part.stop, min(size * 4, CHUNK)
+        places = np.arange(at, min(at + size, len(everyone)))
+        for a, b in tree.within(everyone[places], most, label, places):
+            apart = label[a] != label[b]
+            a, b = a[apart], b[apart]
+            if agree is not None:
+                fine = agree(a, b)
+                a, b = a[fine], b[fine]
+            while len(a):
+                x, y = label[a], label[b]
+                apart = x != y
+                a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+                if not len(a):
+                    break
+                np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+                while not np.array_equal(up := label[label], label):
+                    label[:] = up
+        at, size = at + size, min(size * 4, CHUNK)
     nodes = np.flatnonzero(label != np.arange(len(label)))
     return nodes, label[nodes]
 
