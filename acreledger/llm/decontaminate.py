@@ -28,7 +28,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 WINDOW = 13
 #: Most bytes of benchmark text that are broadcast at a time.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _powers: dict[str, np.ndarray] = {}
 
