@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreledger.session import cut_lineage
@@ -251,78 +251,138 @@ def hex_digits(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-#: A sketch: so many tables of 32 bits.  Two texts that share four of five shingles (Jaccard 0.8) differ in about
-#: 15 % of all bits; in a table they differ in at most three bits with a chance of 0.3, in one of eight with 0.94.
-TABLES, NEAR_BITS = 8, 3
-_SPREAD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+#: Documents at most, and shingles at most, from which it is learned which shingles are common.
+SAMPLE_DOCS, COMMON = 20_000, 200_000
 
 
-def sketch(text: bytes, shingle: int) -> bytes:
-    """256 bits as in ``fingerprint``, from four mixtures of each distinct shingle's hash."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Distinct 64-bit hashes of a text's shingles, sorted; a text of fewer words has one of all of them."""
     words = text.lower().split()
     if not words:
-        return bytes(32)
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     begins = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - shingle + 1)
     begins, ends = begins[:n], ends[min(shingle, len(words)) - 1 :][:n]
     digest = xxhash.xxh64_intdigest
-    hashes = np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], dtype=np.uint64))
-    total = np.zeros(256, dtype=np.int64)
-    for at in range(0, len(hashes), 16384):
-        h = hashes[at : at + 16384]
-        mixed = np.stack([(h ^ (h >> np.uint64(32))) * m for m in _SPREAD], axis=1)
-        mixed ^= mixed >> np.uint64(29)
-        total += np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8).reshape(-1, 32), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(total * 2 > len(hashes)).tobytes()
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], dtype=np.uint64))
 
 
-def most_differing(similarity: float) -> int:
-    """Bits of 256 in which texts of this Jaccard similarity differ on average."""
-    return int(256 * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+def rare_first(hashes: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The hashes in the order of how common they are in the sample; ``common`` is sorted."""
+    if not len(common):
+        return hashes
+    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    return hashes[np.lexsort((hashes, np.where(common[at] == hashes, ranks[at], 0)))]
 
 
-def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, per_table: int = 250_000) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: that with the smallest key.
+def prefix_length(n: int, similarity: float) -> int:
+    """So many first shingles of ``n``, in one order for all texts, hold one that a similar text also has so early."""
+    return n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
 
-    Two bits of 64 part texts of a similarity of 0.8 almost always, so here a text has eight fingerprints of
-    32 bits.  Those at most three bits apart in any of eight Gray-order indexes are candidates; they link if all
-    256 bits put their similarity at ``similarity`` or more.  Groups are the components of the links.  Equal sketches
-    are one class from the start.  Texts without words are equal.  A null key is larger than all others; equal
-    rows are reduced to one; rows of one key with different texts are judged as different documents.
-    """
-    source = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+
+def _hashed(docs: DataFrame, columns: str, row) -> DataFrame:
+    """``docs`` (a column ``text`` last) with the text replaced by the columns that ``row`` makes of a text's bytes."""
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema][:-1]
+    place, names = len(kinds), [*docs.columns[:-1], *(c.split()[0] for c in columns.split(", "))]
+    types = [pa.list_(pa.int64()) if "array" in c else pa.int64() for c in columns.split(", ")]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2):
-                data, bounds = text_buffer(part.column(2))
+            for part in slices(batch, place):
+                data, bounds = text_buffer(part.column(place))
                 raw = data.tobytes()
-                found = [sketch(raw[a:b], shingle) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary())], ["key", "mark", "sketch"])
+                found = [row(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                made = [pa.array(x, kind) for x, kind in zip(zip(*found, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:place], *made], names)
+
+    return docs.mapInArrow(task, ", ".join([*kinds, columns]))
+
+
+def common_shingles(docs: DataFrame, shingle: int, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that many texts of a sample hold, sorted, and how many.  They decide the order, never the result."""
+    apart = max(1, -(-docs.count() // SAMPLE_DOCS))
+    sample = docs.filter(F.pmod(F.xxhash64(text), F.lit(apart)) == 0).select(F.col(text).alias("text"))
+    hashed = _hashed(sample, "hashes array<bigint>", lambda t: (shingle_hashes(t, shingle).view(np.int64),))
+    counts = hashed.select(F.explode("hashes").alias("h")).groupBy("h").count().filter("count > 3")
+    rows = counts.orderBy(F.desc("count"), "h").limit(COMMON).toPandas()
+    hashes = rows["h"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], rows["count"].to_numpy(dtype=np.int64)[order]
+
+
+def similar_links(docs: DataFrame, marked: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """``u, v``: pairs of shingle sets of at least ``similarity``, enough of them to connect all such pairs.
+
+    ``marked`` has a row per document: ``id`` names its set of ``n`` shingles, ``prefix`` is the set's beginning in the
+    common order.  Sets that are similar have a shingle of their prefixes in common, so all pairs are found.  Sets of
+    a shingle are first compared with the least of them; then those that are still in different components
+    with each other.  Each comparison is of the whole sets.
+    """
+    grams = marked.select("id", "n", F.size("prefix").alias("early"), F.posexplode("prefix").alias("pos", "h"))
+    shared = grams.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("h")
+    rows = grams.join(shared, "h").dropDuplicates(["id", "h"])
+    # shingles of the prefix that no other prefix has are in no similar set
+    room = (F.col("n") - F.col("early") + F.count("*").over(Window.partitionBy("id"))).alias("room")
+    rows = cut_lineage(rows.select("h", "id", "n", "pos", room))
+
+    def possible(a: str, b: str):
+        n, m, i, j = (F.col(f"{x}.{c}") for c in ("n", "pos") for x in (a, b))
+        both = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
+        return F.least(both, F.col(f"{a}.room"), F.col(f"{b}.room")) >= (n + m) * (similarity / (1 + similarity)) - 1e-6
+
+    def pairs(a: DataFrame, b: DataFrame, on) -> DataFrame:
+        near = a.alias("a").join(b.alias("b"), (F.col("a.h") == F.col("b.h")) & on & possible("a", "b"))
+        ids = F.col("a.id"), F.col("b.id")
+        return cut_lineage(near.select(F.greatest(*ids).alias("u"), F.least(*ids).alias("v")).distinct())
+
+    def equal(found: DataFrame) -> DataFrame:
+        """Those of the pairs whose whole sets are similar."""
+        wanted = found.select("u").union(found.select("v")).distinct()
+        first = marked.groupBy("id").agg(F.min(F.struct("key", "mark")).alias("at")).join(wanted, F.col("id") == F.col("u"), "left_semi")
+        texts = docs.join(first, F.col("key").eqNullSafe(F.col("at.key")) & (F.col("mark") == F.col("at.mark")))
+        sets = _hashed(texts.select("id", "text"), "hashes array<bigint>", lambda t: (shingle_hashes(t, shingle).view(np.int64),))
+        sets = cut_lineage(sets.dropDuplicates(["id"]))
+        full = found.join(sets.select(F.col("id").alias("u"), F.col("hashes").alias("x")), "u")
+        full = full.join(sets.select(F.col("id").alias("v"), F.col("hashes").alias("y")), "v")
+        both = F.size(F.array_intersect("x", "y"))
+        return cut_lineage(full.filter(both / (F.size("x") + F.size("y") - both) >= similarity).select("u", "v"))
+
+    least = rows.groupBy("h").agg(F.min(F.struct("id", "n", "pos", "room")).alias("l")).select("h", "l.*")
+    tried = pairs(rows, least, F.col("a.id") != F.col("b.id"))
+    links = equal(tried)
+    named = rows.join(components(links), F.col("id") == F.col("node"), "left")
+    named = cut_lineage(named.select(*rows.columns, F.coalesce("component", "id").alias("group")))
+    apart = named.groupBy("h").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("h")
+    open_ = named.join(apart, "h")
+    more = pairs(open_, open_, F.col("a.group") < F.col("b.group")).join(tried, ["u", "v"], "left_anti")
+    return links.union(equal(more))
+
+
+def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group: that with the smallest key.
+
+    Two documents link if the Jaccard similarity of their sets of shingles is ``similarity`` or more; groups are the
+    components of the links.  All such pairs count: prefixes of the sets in one order, rare shingles first, name the
+    candidates, and whole sets decide (``similar_links``).  Equal sets are one class from the start.  Texts without words are
+    equal.  A null key is larger than all others; equal rows are reduced to one; rows of one key with
+    different texts are judged as different documents.
+    """
+    source = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text))
+
+    def row(t: bytes):
+        hashes = shingle_hashes(t, shingle)
+        early = rare_first(hashes, *sent.value)[: prefix_length(len(hashes), similarity)]
+        name = np.array([xxhash.xxh64_intdigest(hashes.tobytes(), SEED)], dtype=np.uint64).view(np.int64)[0]
+        return name, len(hashes), early.view(np.int64)
 
-    kind = docs.schema[key].dataType.simpleString()
-    marked = cut_lineage(source.mapInArrow(task, f"key {kind}, mark bigint, sketch binary"))
+    marked = cut_lineage(_hashed(source, "id bigint, n bigint, prefix array<bigint>", row))
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark"))
-    classes = marked.groupBy("sketch").agg(first.alias("first"))
-    part = lambda t: F.conv(F.substring(F.hex("sketch"), 8 * t + 1, 8), 16, 10).cast("long")
-    tables = classes.select("sketch", F.posexplode(F.array(*[part(t) for t in range(TABLES)])).alias("tab", "fp"))
-    most = most_differing(similarity)
-
-    def search(rows: pd.DataFrame) -> pd.DataFrame:
-        fps = rows["fp"].to_numpy().view(np.uint64)
-        member = rows["member"].to_numpy()
-        order = np.lexsort((ranks_of(fps), ~member))  # members first, in Gray order
-        names = rows["sketch"].to_numpy()[order]
-        bits = np.frombuffer(b"".join(names), dtype=np.uint64).reshape(-1, 4)
-        agree = lambda a, b: np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= most
-        u, v = spanning_links(fps[order][: member.sum()], fps[order], NEAR_BITS, agree) if member.any() else (np.zeros(0, np.int64),) * 2
-        return pd.DataFrame({"u": names[u], "v": names[v]})
-
-    links = link_groups(tables.select("tab", "fp", "sketch"), NEAR_BITS, "u binary, v binary", search, per_table, marked.count() * TABLES)
-    stars = components(links)
-    grouped = classes.join(stars, classes["sketch"] == stars["node"], "left").groupBy(F.coalesce("component", "sketch").alias("group"))
+    classes = marked.groupBy("id").agg(first.alias("first"))
+    stars = components(similar_links(source, marked, similarity, shingle))
+    grouped = classes.join(stars, classes["id"] == stars["node"], "left").groupBy(F.coalesce("component", "id").alias("group"))
     chosen = cut_lineage(grouped.agg(F.min("first").alias("first")).select(F.col("first.key").alias("_key"), F.col("first.mark").alias("_mark")))
     kept = docs.join(chosen, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_mark")), "left_semi")
     repeated = marked.groupBy("key", "mark").count().filter("count > 1")

@@ -82,3 +82,36 @@ def test_one_document_of_each_group_stays(spark):
     # null, empty and blank texts are one group; copies under several keys another
     assert sorted(map(str, kept)) == sorted(map(str, [r[:2] for r in ROWS if r[0] in (1, 3, 6, 7, 8, 9) or (r[0] is None and r[1])]))
     assert distinct_documents(empty(spark)).count() == 0
+
+
+def edited(rng, words, changes):
+    """The words with some replaced by new ones, at places apart; each takes five shingles away and adds five."""
+    words = list(words)
+    for i in rng.sample(range(10, len(words) - 10, 6), changes):
+        words[i] = f"new{rng.randrange(10**9)}"
+    return words
+
+
+def jaccard(a, b):
+    x, y = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_match_all_pairs_of_shingle_sets(spark):
+    rng = random.Random(5)
+    line = " ".join(f"rule{i}" for i in range(12))
+    texts = []
+    for _ in range(60):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        texts += [" ".join(base) + " " + line, " ".join(edited(rng, base, rng.randrange(2, 8))) + " " + line]
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts += [" ".join(edited(rng, base, rng.randrange(1, 6))) for _ in range(60)]  # a group whose members are at 0.6 to 0.95
+    near = {(i, j): jaccard(texts[i], texts[j]) for i in range(len(texts)) for j in range(i)}
+    assert sum(0.8 <= x < 0.87 for x in near.values()) > 20 and sum(0.7 <= x < 0.8 for x in near.values()) > 20
+    group = list(range(len(texts)))
+    for (i, j), x in near.items():
+        if x >= 0.8:
+            low, high = sorted((group[i], group[j]))
+            group = [low if g == high else g for g in group]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r[0] for r in distinct_documents(docs).collect()) == sorted(set(group))
