@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false positives.
 
-Candidates are long runs of token characters that hold a digit.  Each is described by its length, the
+Candidates are values that are assigned to or quoted after a credential's name or stand in an address, of any
+length and characters, and runs of token characters that hold a digit or an inner capital.  Each is described by its length, the
 transitions between kinds of characters, the share of its letters that dictionary words cover, its path and
 the words around it.  A random forest, trained from labelled findings, tells secrets from card numbers,
 addresses, hashes in prose and the like.  Everything is column expressions and Spark ML.
@@ -18,8 +19,14 @@ from acreledger.session import cut_lineage
 
 from .common import replace_columns
 
-#: A candidate; possessive, so a long run is read once.
-CANDIDATE = r"[A-Za-z0-9_+/=\-]{16,}+"
+#: What stands before a value: a name of a credential with its sign, a name before a quote, or scheme and user of an address.
+_NAME = r"(?<![\w.\-])[\w.\-]*?(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key|credential|auth)[\w\-]*+[\"']?\s*+"
+_SIGN = r"(?:=>|:=|==?|:)\s*+(?:(?i:bearer|basic)\s++)?"
+_QUOTED = r"(?:\"[^\"\n]++(?=\")|'[^'\n]++(?='))"
+_ADDRESS = r"://[^\s/:@]*+:"
+#: A candidate with what stands before it; a run of token characters is read once.
+CANDIDATE = rf"{_NAME}(?:{_SIGN})?{_QUOTED}|{_NAME}{_SIGN}[\"']?\S++|{_ADDRESS}\S+(?=@)|(?<![A-Za-z0-9_+/=\-])(?=[A-Za-z0-9_+/=\-]*?(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9_+/=\-]++"
+BEFORE = rf"^(?:{_NAME}(?:{_SIGN}[\"']?|[\"'])|{_ADDRESS})(?=.)"
 CONTEXT = 40
 #: Words beside a value that name it a credential, and those that mark a sample (fixed values).
 NAMES = r"(?i)(token|secret|passwd|password|api[_-]?key|access[_-]?key|credential|auth)"
@@ -45,13 +52,13 @@ def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> Dat
 
     def walk(a: Column, m: Column) -> Column:
         at = F.call_function("locate", m, F.col("_body"), a["at"])
-        one = F.array(F.struct(m.alias("finding"), at.alias("start")))
+        value = F.regexp_replace(m, BEFORE, "")
+        one = F.array(F.struct(value.alias("finding"), (at + F.length(m) - F.length(value)).alias("start")))
         return F.struct(F.concat(a["all"], one).alias("all"), (at + F.length(m)).alias("at"))
 
     walked = F.aggregate("_found", start, walk, lambda a: a["all"])
     rows = replace_columns(docs, _body=body, _found=found).filter(F.size("_found") > 0)
-    digits = F.filter(walked, lambda x: x["finding"].rlike("[0-9]"))
-    rows = rows.withColumn("_one", F.explode(digits))
+    rows = rows.withColumn("_one", F.explode(walked))
     finding, at = F.col("_one.finding"), F.col("_one.start")
     from_ = F.greatest(at - CONTEXT, F.lit(1))
     return replace_columns(
@@ -82,7 +89,7 @@ def describe(found: DataFrame) -> DataFrame:
         f_digits=_count(x, "[0-9]") / length,
         f_upper=_count(x, "[A-Z]") / length,
         f_hex=_count(x, "[0-9a-f]") / length,
-        f_other=_count(x, r"[_+/=\-]") / length,
+        f_other=_count(x, r"[^A-Za-z0-9]") / length,
         f_switch=F.regexp_count(kind, F.lit(r"a(?=[A0.])|A(?=[a0.])|0(?=[aA.])|\.(?=[aA0])")) / length,
         f_pairs=F.size(F.array_distinct(pairs)) / length,
         f_kinds=(x.rlike("[a-z]").cast("int") + x.rlike("[A-Z]").cast("int") + x.rlike("[0-9]").cast("int")).cast("double"),
@@ -104,7 +111,7 @@ def weak_labels(found: DataFrame) -> DataFrame:
     """
     x = F.col("finding")
     secret = F.col("before").rlike(NAMES + r"\s*[=:]\s*[\"']?$") & x.rlike("[0-9]") & x.rlike("[A-Za-z]")
-    number = x.rlike("^[0-9]+$")
+    number = x.rlike("^[0-9]+$") & ~F.col("before").rlike(NAMES + r"\s*[=:]\s*[\"']?$")
     word = x.rlike("^[A-Za-z]*[0-9]{1,3}$") & ~F.col("before").rlike(r"[=:]\s*[\"']?$")
     return found.withColumn("label", F.when(secret, 1.0).when(number | word, 0.0)).filter("label IS NOT NULL")
 

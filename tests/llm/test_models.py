@@ -68,3 +68,20 @@ def test_forest_tells_secrets_from_numbers(spark):
     only = scan_secrets(awkward(spark, rows[:1]))
     assert [(r["p_secret"], r["secret"]) for r in only.collect()] == [(None, True)]
     assert scan_secrets(empty(spark)).count() == 0
+
+
+def test_short_and_odd_values_are_candidates(spark):
+    texts = {
+        40: ('password = "p@ss:w0rd!" end', "p@ss:w0rd!"),
+        41: ("db_password: hunter and more", "hunter"),
+        42: ('{"api_key": "abc.def.ghi"}', "abc.def.ghi"),
+        43: ("see postgres://me:s3c:ret@host/db", "s3c:ret"),
+        44: ("secret 'correct horse' there", "correct horse"),
+        45: ("code x7 there", "x7"),
+        46: ("word aBcDeFgH there", "aBcDeFgH"),
+        47: ("Authorization: Bearer abcdef there", "abcdef"),
+    }
+    docs = awkward(spark, [(i, text, "en", "a") for i, (text, _) in texts.items()])
+    found = describe(candidates(docs)).collect()
+    assert {r["doc_id"]: r["finding"] for r in found} == {i: value for i, (_, value) in texts.items()} and len(found) == len(texts)
+    assert all(texts[r["doc_id"]][0][r["start"] - 1 :].startswith(r["finding"]) for r in found)
