@@ -115,3 +115,12 @@ def test_near_copies_match_all_pairs_of_shingle_sets(spark):
             group = [low if g == high else g for g in group]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r[0] for r in distinct_documents(docs).collect()) == sorted(set(group))
+
+
+def test_near_copies_need_no_routed_groups(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("rows of many shards in one group")
+
+    monkeypatch.setattr("acreledger.llm.simhash.link_groups", refuse)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f"), (3, "g h i j k l")], "doc_id long, text string")
+    assert sorted(r[0] for r in distinct_documents(docs).collect()) == [1, 3]
