@@ -134,5 +134,63 @@ j AS (SELECT p.*, CASE WHEN g.n > 1 AND g.top IS NOT NULL AND p.page_id IS DISTI
 SELECT page_id, payload_bytes, {groups} AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM j"""
 
 
+USABLE = "embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)"
+
+
+def _whole(factor: int) -> str:
+    return f"list_transform(embedding, lambda x: CAST(floor({factor} * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+def _product(a: str, b: str) -> str:
+    """Inner product of whole numbers, through doubles: exact below 2**53."""
+    return f"CAST(list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])) AS BIGINT)"
+
+
+def top_k(k: int = 5) -> str:
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS id, vec_id, {_whole(256)} AS c FROM embeddings WHERE {USABLE}),
+s AS (SELECT q.id, q.vec_id AS query_id, v.vec_id, {_product("q.c", "v.c")} AS score FROM v q JOIN v ON v.id <> q.id AND len(v.c) = len(q.c) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= {k}"""
+
+
+def negatives(positives: int = 5, most: int = 10) -> str:
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS id, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_whole(256)} AS c FROM embeddings WHERE label IS NOT NULL AND {USABLE}),
+s AS (SELECT a.id, a.vec_id AS anchor_id, v.id AS other, v.vec_id, a.label = v.label AS same, {_product("a.c", "v.c")} AS score FROM v a JOIN v ON v.id <> a.id AND len(v.c) = len(a.c) WHERE a.vec_id % 100 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s WHERE same),
+n AS (SELECT p.id, p.place, p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.id, p.place ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+  FROM p JOIN s ON s.id = p.id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score WHERE p.place <= {positives})
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {most}"""
+
+
+def centroids(clusters: int = 8, rounds: int = 10, dim: int = 64) -> str:
+    """One common table per round; a mean's floor is taken on whole numbers."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT id, arg_min(k, [d, k]) AS k, min(d) AS d FROM (SELECT v.id, m.k, CAST(list_sum(list_transform(list_zip(v.c, m.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, m{r} m) GROUP BY id)""")
+        if r < rounds:
+            steps.append(f"""m{r + 1} AS MATERIALIZED (SELECT m.k, coalesce(n.c, m.c) AS c FROM m{r} m LEFT JOIN (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+  SELECT k, i, sum(x) AS s, count(*) AS n FROM (SELECT a.k, unnest(v.c) AS x, unnest(range({dim})) AS i FROM a{r} a JOIN v ON v.id = a.id) GROUP BY k, i) GROUP BY k) n ON n.k = m.k)""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, {_whole(1024)} AS c FROM embeddings WHERE len(embedding) = {dim} AND {USABLE}),
+m0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, c) - 1 AS k, c FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, c FROM v WHERE vec_id IS NOT NULL ORDER BY h, c LIMIT {clusters})),
+{", ".join(steps)},
+t AS (SELECT k, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY k)
+SELECT v.vec_id, CAST(a.k AS INT) AS cluster, a.d AS distance, t.cluster_inertia, CAST((SELECT sum(d) FROM a{rounds}) AS BIGINT) AS inertia, sha256(array_to_string(m.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v ON v.id = a.id JOIN t ON t.k = a.k JOIN m{rounds} m ON m.k = a.k"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_mixing": mixing(), "op3_warc": warc(), "op4_repeats": repeats(), "op6_quality": quality(), "op7_shards": sharding(), "op9_decontamination": decontamination()}
+    return {
+        "op2_mixing": mixing(),
+        "op3_warc": warc(),
+        "op4_repeats": repeats(),
+        "op6_quality": quality(),
+        "op7_shards": sharding(),
+        "op9_decontamination": decontamination(),
+        "op11_topk": top_k(),
+        "op12_negatives": negatives(),
+        "op13_centroids": centroids(),
+    }

@@ -98,5 +98,39 @@ def op8_tokens(spark: SparkSession, folder: str, vocabulary: str = "/opt/tokeniz
     return counted.select("doc_id", "n_tokens", "n_sections", "section_tokens", "n_crossing")
 
 
-_ALL = (op1_toxicity, op2_mixing, op3_warc, op4_repeats, op5_secrets, op6_quality, op7_shards, op8_tokens, op9_decontamination, op10_simhash)
+def op11_topk(spark: SparkSession, folder: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(read(spark, folder, "embeddings").select("vec_id", "embedding"), F.expr("vec_id % 50 = 0"))
+
+
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from .negatives import hard_negatives
+
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives(read(spark, folder, "embeddings"), F.expr("vec_id % 100 = 0"), label=label)
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    from .centroids import cluster_vectors, with_inertia
+
+    assigned, centroids = cluster_vectors(read(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return with_inertia(assigned, centroids).withColumnRenamed("key", "vec_id")
+
+
+_ALL = (
+    op1_toxicity,
+    op2_mixing,
+    op3_warc,
+    op4_repeats,
+    op5_secrets,
+    op6_quality,
+    op7_shards,
+    op8_tokens,
+    op9_decontamination,
+    op10_simhash,
+    op11_topk,
+    op12_negatives,
+    op13_centroids,
+)
 REGISTRY = {f.__name__: f for f in _ALL}
