@@ -137,10 +137,12 @@ def segments(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndar
 
 
 def _by_shard(hashes: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Shard and the places of its hashes, in order of the hashes."""
+    """Shard and the places of its hashes, in order of the hashes; none where a block has no passage."""
+    if not len(hashes):
+        return
     shard = (hashes % np.uint64(shards)).astype(np.int64)
     order = np.lexsort((hashes, shard))
-    cut = np.flatnonzero(np.concatenate([[True], shard[order][1:] != shard[order][:-1]])) if len(order) else []
+    cut = np.flatnonzero(np.concatenate([[True], shard[order][1:] != shard[order][:-1]]))
     for a, b in zip(cut, [*cut[1:], len(order)], strict=True):
         yield int(shard[order[a]]), order[a:b]
 

@@ -3,8 +3,8 @@
 Distinct fingerprints are sorted by the rank they have in a Gray code, where neighbours share most of their
 bits, and cut into shards.  Over a shard's sorted list stands a tree: a node holds the bits that all
 fingerprints below it share and its parent's do not.  A search adds up the differing bits on its way down and
-leaves a whole group as soon as they exceed the limit.  The roots of the shards are the top of the same tree:
-a fingerprint is sent only to the shards whose shared bits it can match.
+leaves a whole group as soon as they exceed the limit.  The roots of the shards are the leaves of a tree of the same
+kind: a fingerprint walks it and is sent only to shards whose shared bits it can match.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreledger.session import cut_lineage
@@ -80,10 +80,10 @@ def gray_rank(x):
 
 
 class GrayTree:
-    """Index over fingerprints (unsigned) that are in Gray order."""
+    """Index over fingerprints (unsigned) that are in Gray order, or over groups of them with the bits all or any have."""
 
-    def __init__(self, fps: np.ndarray):
-        levels = [(fps, fps)]
+    def __init__(self, fps: np.ndarray, any_bits: np.ndarray | None = None):
+        levels = [(fps, fps if any_bits is None else any_bits)]
         while len(levels[-1][0]) > 1:
             low, high = levels[-1]
             at = np.arange(0, len(low), FAN_OUT)
@@ -97,6 +97,11 @@ class GrayTree:
             self.levels.append((shared & ~above, low))
             above = shared
 
+    def leaves(self, queries: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (place of the query, place of the leaf) whose shared bits differ in at most ``most`` bits, in blocks."""
+        label = np.append(np.zeros(len(self.levels[-1][0]), dtype=np.int8), np.int8(1))
+        return self._walk(queries, most, label, np.full(len(queries), len(label) - 1), False)
+
     def within(self, queries: np.ndarray, most: int, label: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (place of the query, place of the fingerprint) that differ in at most ``most`` bits, in blocks.
 
@@ -105,6 +110,9 @@ class GrayTree:
         as it could add no new link.  The search goes down in pieces of at most ``PAIRS`` pairs, so its memory
         does not depend on how many fingerprints lie close together.
         """
+        return self._walk(queries, most, label, places, True)
+
+    def _walk(self, queries: np.ndarray, most: int, label: np.ndarray, places: np.ndarray, placed: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         lows = [label[: len(self.levels[-1][0])].copy()]
         highs = [lows[0]]
         while len(lows[-1]) > 1:
@@ -131,7 +139,7 @@ class GrayTree:
             near = (gone <= most) & ((lows[depth][node] != mine) | (highs[depth][node] != mine))
             query, gone, node = query[near], gone[near], node[near]
             if depth == last:
-                yield places[query], node
+                yield places[query] if placed else query, node
             elif len(query):
                 todo.append((depth + 1, query, node, gone))
 
@@ -173,48 +181,74 @@ def ranks_of(fps: np.ndarray) -> np.ndarray:
     return rank
 
 
-def link_groups(rows: DataFrame, most: int, schema: str, search, per_shard: int, count: int) -> DataFrame:
-    """Deals ``rows`` (``tab, fp`` and others) over shards of the Gray order, and lets ``search`` connect each shard.
+def gray_order(fp: Column) -> Column:
+    """Place in the Gray code as a signed long: the upper half of the code comes after the lower."""
+    return gray_rank(fp).bitwiseXOR(F.lit(-(1 << 63)))
+
+
+def _placed(classes: DataFrame, per_shard: int, count: int) -> DataFrame:
+    """``fp, shard``: shards of about ``per_shard`` fingerprints, bounded by quantiles of the Gray order.
 
-    Every table ``tab`` is a list of its own.  A row goes to its own shard, and to each later one of its table
-    whose root differs from it in at most ``most`` of the shared bits.  Only the roots, a row per shard,
-    come to the driver.  With random fingerprints and 2**s shards a row goes to the 1 + s + s*(s-1)/2 (for two
-    bits) that it can match, not to all.
+    Shards follow from the rows alone, not from a number of partitions.  The quantiles, one per shard, are what the
+    driver sees.
     """
-    spark = rows.sparkSession
     shards = max(1, -(-count // per_shard))
-    ranked = rows.withColumn("rank", gray_rank(F.col("fp"))).repartitionByRange(shards, "tab", "rank").drop("rank")
-    placed = cut_lineage(ranked.withColumn("shard", F.spark_partition_id()))
-    roots = placed.groupBy("tab", "shard").agg(F.bit_and("fp").alias("low"), F.bit_or("fp").alias("high")).orderBy("tab", "shard").collect()
-    low = np.array([r["low"] for r in roots], dtype=np.int64).view(np.uint64)
-    high = np.array([r["high"] for r in roots], dtype=np.int64).view(np.uint64)
-    tabs, names = np.array([r["tab"] for r in roots], dtype=np.int32), np.array([r["shard"] for r in roots], dtype=np.int32)
-    sent = spark.sparkContext.broadcast((tabs, names, low, ~(low ^ high)))
-    tab, fp, home = (placed.columns.index(c) for c in ("tab", "fp", "shard"))
+    ordered = classes.select("fp", gray_order(F.col("fp")).alias("at"))
+    if shards == 1:
+        return ordered.select("fp", F.lit(0).alias("shard"))
+    steps = [i / shards for i in range(1, shards)]
+    cuts = np.unique(np.array(ordered.agg(F.percentile_approx("at", steps, max(10_000, 20 * shards))).first()[0] or [], dtype=np.int64))
 
-    def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tabs, names, bits, mask = sent.value
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                fps, mine = part.column(fp).to_numpy().view(np.uint64), part.column(tab).to_numpy()
-                near = np.bitwise_count((fps[:, None] ^ bits) & mask) <= most
-                homes = part.column(home).to_numpy()
-                q, k = np.nonzero(near & (tabs == mine[:, None]) & (names >= homes[:, None]))  # each pair of shards meets once
-                columns = [pa.array(names[k]) if i == home else c.take(pa.array(q)) for i, c in enumerate(part.columns)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(homes[q] == names[k])], [*part.schema.names, "member"])
+            shard = np.searchsorted(cuts, batch.column(1).to_numpy(), side="left").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shard)], ["fp", "shard"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
-    routed = placed.mapInArrow(route, f"{kinds}, member boolean")
-    return routed.groupBy("tab", "shard").applyInPandas(search, schema)
+    return ordered.mapInArrow(task, "fp long, shard int")
+
+
+def hosts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In which of two shards they meet: in the lower if their numbers differ by an odd number, else in the upper."""
+    return np.where((a + b) % 2 == 1, np.minimum(a, b), np.maximum(a, b))
 
 
 def near_links(classes: DataFrame, most: int = 2, per_shard: int = 50_000, rows: int | None = None) -> DataFrame:
     """``u, v``: links that connect all distinct fingerprints at most ``most`` bits apart.
 
-    ``classes`` has one row per fingerprint ``fp``.  Each shard returns a spanning forest of the links that it
-    finds, not the links, so a dense group costs a row per member.
+    ``classes`` has one row per fingerprint ``fp``.  A fingerprint visits the shards whose roots it can match; two shards
+    meet in one of them, by their numbers, so visitors are spread evenly.  With random fingerprints and 2**s shards
+    these are at most (s + s*(s-1)/2) / 2 for two bits.  Visitors of a shard are dealt over as many groups as
+    hold twice ``per_shard`` each, and every group has the shard's own fingerprints, so no task holds more than
+    about three times ``per_shard``.  Each group returns a spanning forest of the links that it finds, not the links, so a
+    dense group costs a row per member.  The driver and the broadcast hold one row per shard.
     """
+    placed = cut_lineage(_placed(classes, per_shard, classes.count() if rows is None else rows))
+    roots = placed.groupBy("shard").agg(F.bit_and("fp").alias("low"), F.bit_or("fp").alias("high")).orderBy("shard").collect()
+    low = np.array([r["low"] for r in roots], dtype=np.int64).view(np.uint64)
+    high = np.array([r["high"] for r in roots], dtype=np.int64).view(np.uint64)
+    names = np.array([r["shard"] for r in roots], dtype=np.int32)
+    sent = placed.sparkSession.sparkContext.broadcast((names, low, high))
+
+    def visit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, low, high = sent.value
+        tree = GrayTree(low, high)
+        for batch in batches:
+            fps, home = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            for q, leaf in tree.leaves(fps, most):
+                there = names[leaf]
+                host = (there != home[q]) & (hosts(home[q], there) == there)
+                q, there = q[host], there[host]
+                yield pa.RecordBatch.from_arrays([pa.array(fps[q].view(np.int64)), pa.array(there)], ["fp", "shard"])
+
+    if len(roots) > 1:
+        visits = cut_lineage(placed.mapInArrow(visit, "fp long, shard int"))
+        groups = visits.groupBy("shard").agg(F.ceil(F.count("*") / (2 * per_shard)).cast("int").alias("salts"))
+        visits = visits.join(groups, "shard").select("shard", F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int").alias("salt"), "fp", F.lit(False).alias("member"))
+        salts = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+        members = placed.join(groups, "shard", "left").select("shard", salts.alias("salt"), "fp", F.lit(True).alias("member"))
+        dealt = members.union(visits)
+    else:
+        dealt = placed.select("shard", F.lit(0).alias("salt"), "fp", F.lit(True).alias("member"))
 
     def search(part: pd.DataFrame) -> pd.DataFrame:
         member = part["member"].to_numpy()
@@ -225,8 +259,15 @@ def near_links(classes: DataFrame, most: int = 2, per_shard: int = 50_000, rows:
         u, v = spanning_links(own, everyone, most) if len(own) else (np.zeros(0, np.int64),) * 2
         return pd.DataFrame({"u": everyone[u].view(np.int64), "v": everyone[v].view(np.int64)})
 
-    listed = classes.select(F.lit(0).alias("tab"), "fp")
-    return link_groups(listed, most, "u bigint, v bigint", search, per_shard, classes.count() if rows is None else rows)
+    return dealt.groupBy("shard", "salt").applyInPandas(search, "u long, v long")
+
+
+def near_classes(marked: DataFrame, least: Column, most: int) -> DataFrame:
+    """``fp, least, star``: for each fingerprint the least of its rows and the smallest fingerprint it reaches."""
+    classes = marked.groupBy("fp").agg(F.min(least).alias("least"))
+    stars = components(near_links(classes.select("fp"), most))
+    named = classes.join(stars, classes["fp"] == stars["node"], "left")
+    return named.select("fp", "least", F.coalesce("component", "fp").alias("star"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, most: int = 2) -> DataFrame:
@@ -234,156 +275,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     Fingerprints link if they differ in at most ``most`` bits; equal ones, also those of texts without words,
     are one class, so copies are never compared.  A null key takes part but names no component unless
-    the component has no other.  An empty input gives no rows.
+    the component has no other.  Other input columns do not matter.  An empty input gives no rows.
     """
-    slim = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    slim = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
     marked = cut_lineage(fingerprints(slim, "_text", shingle).select("_key", "fp"))
-    classes = marked.groupBy("fp").agg(F.min("_key").alias("least"))
-    stars = components(near_links(classes.select("fp"), most))
-    named = classes.join(stars, classes["fp"] == stars["node"], "left")
-    named = named.select("fp", "least", F.coalesce("component", "fp").alias("star"))
+    named = near_classes(marked, F.col("_key"), most)
     smallest = named.groupBy(F.col("star").alias("_star")).agg(F.min("least").alias("component_id"))
     found = named.join(smallest, F.col("star") == F.col("_star")).select(F.col("fp").alias("_fp"), "component_id")
     return marked.join(found, F.col("fp") == F.col("_fp")).select(F.col("_key").alias(key), "fp", "component_id")
 
 
-def hex_digits(fp):
-    return F.lower(F.lpad(F.hex(fp), 16, "0"))
-
-
-#: Documents at most, and shingles at most, from which it is learned which shingles are common.
-SAMPLE_DOCS, COMMON = 20_000, 200_000
-
-
-def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
-    """Distinct 64-bit hashes of a text's shingles, sorted; a text of fewer words has one of all of them."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    begins = np.concatenate([[0], ends[:-1] + 1])
-    n = max(1, len(words) - shingle + 1)
-    begins, ends = begins[:n], ends[min(shingle, len(words)) - 1 :][:n]
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], dtype=np.uint64))
-
-
-def rare_first(hashes: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The hashes in the order of how common they are in the sample; ``common`` is sorted."""
-    if not len(common):
-        return hashes
-    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-    return hashes[np.lexsort((hashes, np.where(common[at] == hashes, ranks[at], 0)))]
-
-
-def prefix_length(n: int, similarity: float) -> int:
-    """So many first shingles of ``n``, in one order for all texts, hold one that a similar text also has so early."""
-    return n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
-
-
-def _hashed(docs: DataFrame, columns: str, row) -> DataFrame:
-    """``docs`` (a column ``text`` last) with the text replaced by the columns that ``row`` makes of a text's bytes."""
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema][:-1]
-    place, names = len(kinds), [*docs.columns[:-1], *(c.split()[0] for c in columns.split(", "))]
-    types = [pa.list_(pa.int64()) if "array" in c else pa.int64() for c in columns.split(", ")]
-
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, place):
-                data, bounds = text_buffer(part.column(place))
-                raw = data.tobytes()
-                found = [row(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                made = [pa.array(x, kind) for x, kind in zip(zip(*found, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:place], *made], names)
-
-    return docs.mapInArrow(task, ", ".join([*kinds, columns]))
-
-
-def common_shingles(docs: DataFrame, shingle: int, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of shingles that many texts of a sample hold, sorted, and how many.  They decide the order, never the result."""
-    apart = max(1, -(-docs.count() // SAMPLE_DOCS))
-    sample = docs.filter(F.pmod(F.xxhash64(text), F.lit(apart)) == 0).select(F.col(text).alias("text"))
-    hashed = _hashed(sample, "hashes array<bigint>", lambda t: (shingle_hashes(t, shingle).view(np.int64),))
-    counts = hashed.select(F.explode("hashes").alias("h")).groupBy("h").count().filter("count > 3")
-    rows = counts.orderBy(F.desc("count"), "h").limit(COMMON).toPandas()
-    hashes = rows["h"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], rows["count"].to_numpy(dtype=np.int64)[order]
-
-
-def similar_links(docs: DataFrame, marked: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """``u, v``: pairs of shingle sets of at least ``similarity``, enough of them to connect all such pairs.
-
-    ``marked`` has a row per document: ``id`` names its set of ``n`` shingles, ``prefix`` is the set's beginning in the
-    common order.  Sets that are similar have a shingle of their prefixes in common, so all pairs are found.  Sets of
-    a shingle are first compared with the least of them; then those that are still in different components
-    with each other.  Each comparison is of the whole sets.
-    """
-    grams = marked.select("id", "n", F.size("prefix").alias("early"), F.posexplode("prefix").alias("pos", "h"))
-    shared = grams.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("h")
-    rows = grams.join(shared, "h").dropDuplicates(["id", "h"])
-    # shingles of the prefix that no other prefix has are in no similar set
-    room = (F.col("n") - F.col("early") + F.count("*").over(Window.partitionBy("id"))).alias("room")
-    rows = cut_lineage(rows.select("h", "id", "n", "pos", room))
-
-    def possible(a: str, b: str):
-        n, m, i, j = (F.col(f"{x}.{c}") for c in ("n", "pos") for x in (a, b))
-        both = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
-        return F.least(both, F.col(f"{a}.room"), F.col(f"{b}.room")) >= (n + m) * (similarity / (1 + similarity)) - 1e-6
-
-    def pairs(a: DataFrame, b: DataFrame, on) -> DataFrame:
-        near = a.alias("a").join(b.alias("b"), (F.col("a.h") == F.col("b.h")) & on & possible("a", "b"))
-        ids = F.col("a.id"), F.col("b.id")
-        return cut_lineage(near.select(F.greatest(*ids).alias("u"), F.least(*ids).alias("v")).distinct())
-
-    def equal(found: DataFrame) -> DataFrame:
-        """Those of the pairs whose whole sets are similar."""
-        wanted = found.select("u").union(found.select("v")).distinct()
-        first = marked.groupBy("id").agg(F.min(F.struct("key", "mark")).alias("at")).join(wanted, F.col("id") == F.col("u"), "left_semi")
-        texts = docs.join(first, F.col("key").eqNullSafe(F.col("at.key")) & (F.col("mark") == F.col("at.mark")))
-        sets = _hashed(texts.select("id", "text"), "hashes array<bigint>", lambda t: (shingle_hashes(t, shingle).view(np.int64),))
-        sets = cut_lineage(sets.dropDuplicates(["id"]))
-        full = found.join(sets.select(F.col("id").alias("u"), F.col("hashes").alias("x")), "u")
-        full = full.join(sets.select(F.col("id").alias("v"), F.col("hashes").alias("y")), "v")
-        both = F.size(F.array_intersect("x", "y"))
-        return cut_lineage(full.filter(both / (F.size("x") + F.size("y") - both) >= similarity).select("u", "v"))
-
-    least = rows.groupBy("h").agg(F.min(F.struct("id", "n", "pos", "room")).alias("l")).select("h", "l.*")
-    tried = pairs(rows, least, F.col("a.id") != F.col("b.id"))
-    links = equal(tried)
-    named = rows.join(components(links), F.col("id") == F.col("node"), "left")
-    named = cut_lineage(named.select(*rows.columns, F.coalesce("component", "id").alias("group")))
-    apart = named.groupBy("h").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("h")
-    open_ = named.join(apart, "h")
-    more = pairs(open_, open_, F.col("a.group") < F.col("b.group")).join(tried, ["u", "v"], "left_anti")
-    return links.union(equal(more))
-
-
-def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, most: int = 2) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: that with the smallest key.
 
-    Two documents link if the Jaccard similarity of their sets of shingles is ``similarity`` or more; groups are the
-    components of the links.  All such pairs count: prefixes of the sets in one order, rare shingles first, name the
-    candidates, and whole sets decide (``similar_links``).  Equal sets are one class from the start.  Texts without words are
-    equal.  A null key is larger than all others; equal rows are reduced to one; rows of one key with
-    different texts are judged as different documents.
+    Groups are those of ``near_duplicates``.  Texts without words are equal, null ones too.  A null key is larger than
+    all others; equal rows are reduced to one; rows of one key with different texts are judged as different documents.
+    All input columns come back, whatever their names.  An empty input gives no rows.
     """
-    source = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text))
-
-    def row(t: bytes):
-        hashes = shingle_hashes(t, shingle)
-        early = rare_first(hashes, *sent.value)[: prefix_length(len(hashes), similarity)]
-        name = np.array([xxhash.xxh64_intdigest(hashes.tobytes(), SEED)], dtype=np.uint64).view(np.int64)[0]
-        return name, len(hashes), early.view(np.int64)
-
-    marked = cut_lineage(_hashed(source, "id bigint, n bigint, prefix array<bigint>", row))
-    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark"))
-    classes = marked.groupBy("id").agg(first.alias("first"))
-    stars = components(similar_links(source, marked, similarity, shingle))
-    grouped = classes.join(stars, classes["id"] == stars["node"], "left").groupBy(F.coalesce("component", "id").alias("group"))
-    chosen = cut_lineage(grouped.agg(F.min("first").alias("first")).select(F.col("first.key").alias("_key"), F.col("first.mark").alias("_mark")))
-    kept = docs.join(chosen, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_mark")), "left_semi")
+    slim = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("text"))
+    marked = cut_lineage(fingerprints(slim, "text", shingle).select("key", "mark", "fp"))
+    named = near_classes(marked, F.struct(F.col("key").isNull().alias("none"), "key", "mark"), most)
+    chosen = cut_lineage(named.groupBy("star").agg(F.min("least").alias("first")).select("first.key", "first.mark"))
+    kept = docs.join(chosen, docs[f"`{key}`"].eqNullSafe(chosen["key"]) & (F.xxhash64(docs[f"`{text}`"]) == chosen["mark"]), "left_semi")
     repeated = marked.groupBy("key", "mark").count().filter("count > 1")
     return kept.dropDuplicates([key, text]) if not repeated.isEmpty() else kept
+
+
+def hex_digits(fp):
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))

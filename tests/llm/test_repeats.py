@@ -49,6 +49,14 @@ def test_awkward_and_empty_rows(spark, tmp_path):
     assert result(empty(spark), tmp_path, 50) == []
 
 
+@pytest.mark.parametrize("parts", [1, 2, 5, 13])
+@pytest.mark.parametrize("texts", [["short text"] * 8, [None] * 5, ["", "x" * 49, None, " "], ["x" * 49, "y" * 50, "y" * 50, "z"], []])
+def test_blocks_without_passages(spark, tmp_path, texts, parts):
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    assert result(docs, tmp_path, 50) == brute(rows, 50)
+
+
 def test_text_that_is_kept(spark, tmp_path):
     passage = "".join(chr(97 + i % 26) + str(i) for i in range(40))
     rows = [(1, "start " + passage), (2, passage + " end"), (3, "x" + passage)]

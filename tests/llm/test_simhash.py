@@ -3,9 +3,10 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from acreledger.llm.components import components
-from acreledger.llm.simhash import distinct_documents, hex_digits, near_duplicates, near_links, ranks_of, spanning_links
+from acreledger.llm.simhash import GrayTree, _placed, distinct_documents, hex_digits, near_duplicates, near_links, ranks_of, spanning_links
 
 from .helpers import ROWS, awkward, empty, words
 
@@ -46,12 +47,26 @@ def test_tree_connects_what_brute_force_connects(most):
     assert label.tolist() == groups([int(x) for x in fps], most)
 
 
-def test_links_across_shards(spark):
+@pytest.mark.parametrize("most", [0, 2, 4])
+def test_roots_of_shards_lose_no_pair(most):
+    rng = np.random.default_rng(most)
+    fps = rng.integers(0, 1 << 63, 3000, dtype=np.uint64) << np.uint64(1)
+    fps = np.unique(np.concatenate([fps, *(fps ^ (np.uint64(1) << rng.integers(0, 64, len(fps), dtype=np.uint64)) for _ in range(2))]))
+    fps = fps[np.argsort(ranks_of(fps))]
+    cuts = np.arange(0, len(fps), 100)
+    low, high = np.bitwise_and.reduceat(fps, cuts), np.bitwise_or.reduceat(fps, cuts)
+    found = {(int(q), int(k)) for qs, ks in GrayTree(low, high).leaves(fps, most) for q, k in zip(qs, ks)}
+    near = np.bitwise_count((fps[:, None] ^ low) & ~(low ^ high)) <= most
+    assert found == set(zip(*(x.tolist() for x in np.nonzero(near))))
+
+
+@pytest.mark.parametrize("per_shard", [1, 7, 20, 1000])
+def test_links_across_shards(spark, per_shard):
     rng = random.Random(1)
     centres = [rng.getrandbits(64) for _ in range(30)]
     fps = sorted({c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for c in centres for _ in range(12)})
     signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
-    found = components(near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), per_shard=20))
+    found = components(near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), per_shard=per_shard))
     star = {r["node"]: r["component"] for r in found.collect()}
     want = groups(fps, 2)
     got = [star.get(x, x) for x in signed]
@@ -68,59 +83,32 @@ def test_awkward_rows_match_brute_force(spark):
     assert near_duplicates(empty(spark)).count() == 0
 
 
+def test_shards_do_not_depend_on_partitions(spark):
+    rng = random.Random(8)
+    fps = [(rng.getrandbits(64) - (1 << 63),) for _ in range(5000)]
+    classes = spark.createDataFrame(fps, "fp long").distinct()
+    sizes = []
+    for parts in (2, 31):
+        placed = _placed(classes.repartition(parts), 500, 5000)
+        sizes.append(sorted((r["shard"], r["count"]) for r in placed.groupBy("shard").count().collect()))
+    assert [len(x) for x in sizes] == [10, 10] and all(400 < n < 600 for x in sizes for _, n in x)
+
+
 def test_one_document_of_each_group_stays(spark):
     rng = random.Random(3)
-    base = [rng.choice("lorem ipsum dolor sit amet consectetur elit sed do eiusmod tempor".split()) + str(rng.randrange(90)) for _ in range(400)]
-    copy = list(base)
-    for i in (50, 200):
-        copy[i] = "changed"
-    other = [rng.choice("abc") + str(rng.randrange(10**6)) for _ in range(400)]
-    rows = [(1, " ".join(base)), (2, " ".join(copy)), (3, " ".join(other)), (4, " ".join(base)), (4, " ".join(base))]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r[0] for r in distinct_documents(docs).collect()) == [1, 3]
+    base = [rng.choice("lorem ipsum dolor sit amet consectetur elit sed do eiusmod tempor".split()) + str(rng.randrange(90)) for _ in range(4000)]
+    texts = [" ".join(base), " ".join(base[:2000] + ["changed"] + base[2001:]), " ".join(rng.choice("abc") + str(rng.randrange(10**6)) for _ in range(400))]
+    rows = [(i + 1, t) for i, t in enumerate(texts)] + [(4, texts[0]), (4, texts[0]), (4, texts[2] + " more"), (None, texts[1])]
+    group = groups([fingerprint(t) for _, t in rows], 2)
+    first = {}
+    for (k, t), g in zip(rows, group):
+        first[g] = min(first.get(g, (True, 0, "")), (k is None, k or 0, t))
+    want = sorted((None if none else k, t) for none, k, t in first.values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("own")).withColumn("mark", F.lit(1)).withColumn("fp", F.lit(2))
+    kept = distinct_documents(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r)[:2] for r in kept.collect()) == want and len(want) < 4
+    assert {tuple(r)[2:] for r in kept.collect()} == {("own", 1, 2)}
     kept = [tuple(r)[:2] for r in distinct_documents(awkward(spark)).collect()]
     # null, empty and blank texts are one group; copies under several keys another
     assert sorted(map(str, kept)) == sorted(map(str, [r[:2] for r in ROWS if r[0] in (1, 3, 6, 7, 8, 9) or (r[0] is None and r[1])]))
     assert distinct_documents(empty(spark)).count() == 0
-
-
-def edited(rng, words, changes):
-    """The words with some replaced by new ones, at places apart; each takes five shingles away and adds five."""
-    words = list(words)
-    for i in rng.sample(range(10, len(words) - 10, 6), changes):
-        words[i] = f"new{rng.randrange(10**9)}"
-    return words
-
-
-def jaccard(a, b):
-    x, y = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
-    return len(x & y) / len(x | y)
-
-
-def test_near_copies_match_all_pairs_of_shingle_sets(spark):
-    rng = random.Random(5)
-    line = " ".join(f"rule{i}" for i in range(12))
-    texts = []
-    for _ in range(60):
-        base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
-        texts += [" ".join(base) + " " + line, " ".join(edited(rng, base, rng.randrange(2, 8))) + " " + line]
-    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
-    texts += [" ".join(edited(rng, base, rng.randrange(1, 6))) for _ in range(60)]  # a group whose members are at 0.6 to 0.95
-    near = {(i, j): jaccard(texts[i], texts[j]) for i in range(len(texts)) for j in range(i)}
-    assert sum(0.8 <= x < 0.87 for x in near.values()) > 20 and sum(0.7 <= x < 0.8 for x in near.values()) > 20
-    group = list(range(len(texts)))
-    for (i, j), x in near.items():
-        if x >= 0.8:
-            low, high = sorted((group[i], group[j]))
-            group = [low if g == high else g for g in group]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert sorted(r[0] for r in distinct_documents(docs).collect()) == sorted(set(group))
-
-
-def test_near_copies_need_no_routed_groups(spark, monkeypatch):
-    def refuse(*_):
-        raise AssertionError("rows of many shards in one group")
-
-    monkeypatch.setattr("acreledger.llm.simhash.link_groups", refuse)
-    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f"), (3, "g h i j k l")], "doc_id long, text string")
-    assert sorted(r[0] for r in distinct_documents(docs).collect()) == [1, 3]
