@@ -20,7 +20,7 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     from .mixing import mix_sources
 
-    mixed = mix_sources(read(spark, folder, "documents").select("doc_id", "text", "source"))
+    mixed = mix_sources(read(spark, folder, "documents").select("doc_id", "text", "source"), columns=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

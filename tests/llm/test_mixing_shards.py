@@ -10,7 +10,7 @@ from .helpers import ROWS, awkward, empty, words
 
 def test_targets_are_met_and_nothing_is_lost(spark):
     rows = [(i, "w " * (1 + i % 17), "en", "abc"[i % 3] if i % 5 else "big") for i in range(3000)]
-    mixed = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), rows_per_block=50).collect()
+    mixed = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), per_range=50).collect()
     total = sum(len(words(r[1])) for r in rows)
     by = defaultdict(int)
     for r in mixed:
@@ -42,6 +42,53 @@ def test_mix_of_awkward_rows(spark):
     assert [r["taken"] for r in mix_sources(blank).collect()] == [0, 0]
 
 
+def plain_mix(rows, weights=(1, 2, 3), epochs=3):
+    """Taken words by (doc_id, text) of all sources, pass by pass in the order of finish times."""
+    import hashlib
+
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    listed = sorted((s is None, s or "", int(md5(("" if k is None else str(k)) + ":" + ("" if t is None else md5(t)))[:12], 16), "" if k is None else str(k), len(words(t))) for k, t, _, s in rows)
+    sizes = defaultdict(int)
+    for r in listed:
+        sizes[r[:2]] += r[4]
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(sorted(sizes))}
+    total, target, open_ = sum(sizes.values()), {}, set(sizes)
+    while open_:  # those whose share is too much for them are cut, one after the other
+        share = (total - sum(target.values())) / sum(weight[s] for s in open_)
+        s = min(open_, key=lambda s: (epochs * sizes[s] / weight[s], s))
+        if epochs * sizes[s] >= share * weight[s]:
+            target.update({s: share * weight[s] for s in open_})
+            break
+        target[s] = float(epochs * sizes[s])
+        open_.remove(s)
+    upto, turns = defaultdict(int), []
+    for i, r in enumerate(listed):
+        upto[r[:2]] += r[4]
+        turns += [((sizes[r[:2]] * e + upto[r[:2]]) / target[r[:2]] if target[r[:2]] else 0.0, *r[:2], e, *r[2:4], i) for e in range(epochs)]
+    taken, used = defaultdict(int), 0
+    for t in sorted(turns):
+        used += listed[t[-1]][4]
+        if used > total:
+            break
+        taken[t[-1]] += 1
+    return Counter((r[3], r[4], r[4] * taken[i]) for i, r in enumerate(listed))
+
+
+@pytest.mark.parametrize("per_range", [3, 40, 10_000])
+def test_mix_equals_plain_queueing(spark, per_range):
+    rows = [*ROWS[:-2], *((i, f"w{i} " * (i % 23), "en", "abcd"[i % 7 % 4]) for i in range(100, 400))]
+    rows += [(500, "the same row", "en", "a")] * 150  # one key and text, a third of all rows
+    docs = awkward(spark, rows, clashes=True)
+    for name in ("_n", "_from", "_rid", "_src", "_doc", "_null", "epoch", "time"):
+        docs = docs.selectExpr("*", f"'own' AS `{name}`")
+    found = mix_sources(docs.repartition(7), per_range=per_range)
+    assert {r["_from"] for r in found.select("_from").collect()} == {"own"}
+    assert Counter(("" if r["doc_id"] is None else str(r["doc_id"]), r["size"], r["taken"]) for r in found.collect()) == plain_mix(rows)
+    again = mixed_documents(docs, per_range=per_range)
+    assert again.columns == docs.columns
+    assert again.count() == sum(r["copies"] for r in found.collect())
+
+
 def chain(spark, n):
     from pyspark.sql import functions as F
 
