@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from acreledger.session import cut_lineage
 
-from .common import row_mix, word_count
+from .common import in_ranges, row_mix, word_count
 
 #: Columns of the result beside the input's; input columns with these names are replaced.
 RESULT = ("size", "source_size", "target", "taken", "copies")
@@ -48,12 +48,6 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], max_epochs: int, bu
     return final.select("_null", "_src", "source_size", target.alias("target"))
 
 
-def in_ranges(df: DataFrame, count: int, per_range: int, *order: str) -> DataFrame:
-    """``df`` range-sorted into pieces of about ``per_range`` rows, numbered by ``_range``; fixed by a checkpoint."""
-    ranged = df.repartitionByRange(max(1, -(-count // per_range)), *order)
-    return cut_lineage(ranged.withColumn("_range", F.spark_partition_id()))
-
-
 def queues(base: DataFrame, count: int, weights: Sequence[int], budget: int | None, max_epochs: int, per_range: int) -> DataFrame:
     """Rows with ``source_size, target`` and ``_upto``, the words of their source up to and with them.
 

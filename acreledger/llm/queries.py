@@ -54,7 +54,7 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     from .shards import assign_shards
 
-    placed = assign_shards(read(spark, folder, "documents").select("doc_id", "text"), 24)
+    placed = assign_shards(read(spark, folder, "documents").select("doc_id", "text"), 24, columns=["doc_id"])
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 

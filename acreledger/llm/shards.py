@@ -9,12 +9,15 @@ There is no ring table and nothing to broadcast.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bits_for, hex_number, replace_columns, row_mix
+from acreledger.session import cut_lineage
+
+from .common import hex_number, in_ranges, row_mix
 
 #: Linear congruential generator modulo 2**48, as in POSIX drand48 (fixed values).
 FACTOR, INCREMENT, MASK = 25214903917, 11, (1 << 48) - 1
@@ -60,43 +63,44 @@ def jump_shard(key: Column, n_shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step, finish)
 
 
+#: Columns of the result beside the input's; input columns with these names are replaced.
+RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def assign_shards(
-    docs: DataFrame,
-    n_shards: int,
-    key: str = "doc_id",
-    text: str = "text",
-    rows: int | None = None,
-    rows_per_block: int = 50_000,
+    docs: DataFrame, n_shards: int, key: str = "doc_id", text: str = "text", columns: Sequence[str] | None = None, per_range: int = 50_000
 ) -> DataFrame:
-    """Rows with ``size, text_crc32, law, shard, slot, grown_shard``.
+    """Rows with ``size, text_crc32, law, shard, slot, grown_shard`` and the input's ``columns`` (all unless given).
 
     ``size`` is the UTF-8 length plus 8 (null text: 8), ``text_crc32`` the CRC of the UTF-8 bytes
     (null: of none), ``law`` is "key", ``grown_shard`` the shard if there were one more.  ``slot``
-    numbers the rows of a shard from 0 without gaps: rows are put in blocks of bounded size by a hash
-    of key and text, blocks are counted, and each block numbers its own rows from the sum of those
-    before it, so no task holds a shard.  Equal rows get adjacent slots in either order.  Null
-    keys share one shard.  Columns of the input with these names are replaced; an empty
-    input gives no rows.  ``rows`` may give the number of rows where counting is dear.
+    numbers the rows of a shard from 0 without gaps: rows are range-sorted by shard and a hash of key and text, pieces
+    of ``per_range`` rows are counted, and each numbers its own rows from the sum of those before it, so no
+    task holds a shard, whatever repeats.  Equal rows get adjacent slots in either order.  Null keys share one shard.
+    The input is read once.  Input columns with these names are replaced, all others come back whatever their names; an
+    empty input gives no rows.
     """
-    bits = bits_for(docs.count() if rows is None else rows, rows_per_block)
-    body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    chosen = replace_columns(
-        docs,
-        size=(F.length(body) + 8).cast("long"),
-        text_crc32=F.crc32(body).cast("long"),
-        law=F.lit("key"),
-        _jump=jump_shard(F.col(key), n_shards),
-        _mix=row_mix(F.col(key), F.col(text)),
-    )
-    chosen = chosen.withColumn("_shard", F.col("_jump.shard")).withColumn("_block", F.shiftright("_mix", 48 - bits))
-    counts = chosen.groupBy("_shard", "_block").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("_shard").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_shard").alias("_s"), F.col("_block").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from")
+    wanted = [c for c in (docs.columns if columns is None else columns) if c.lower() not in RESULT]
+    name = F.col(f"`{key}`")
+    body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
+    base = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in wanted]).alias("_doc"),
+        (F.length(body) + 8).cast("long").alias("size"),
+        F.crc32(body).cast("long").alias("text_crc32"),
+        jump_shard(name, n_shards).alias("_jump"),
+        row_mix(name, F.col(f"`{text}`")).alias("_mix"),
+        name.alias("_key"),
+        F.monotonically_increasing_id().alias("_rid"),
     )
-    place = W.partitionBy("_shard", "_block").orderBy("_mix", F.col(key).asc_nulls_first(), "text_crc32")
-    numbered = chosen.withColumn("_row", F.row_number().over(place) - 1)
-    placed = numbered.join(offsets, (F.col("_shard") == F.col("_s")) & (F.col("_block") == F.col("_b")))
-    return replace_columns(
-        placed, shard=F.col("_shard"), slot=(F.col("_from") + F.col("_row")).cast("long"), grown_shard=F.col("_jump.grown")
-    ).drop("_jump", "_mix", "_shard", "_block", "_s", "_b", "_from", "_row")
+    base = cut_lineage(base)
+    slim = base.select(F.col("_jump.shard").alias("shard"), "_mix", F.col("_key").isNotNull().alias("_named"), "_key", "text_crc32", "_rid")
+    order = ["_mix", "_named", "_key", "text_crc32", "_rid"]
+    ranged = in_ranges(slim, base.count(), per_range, "shard", *order)
+    counts = ranged.groupBy("shard", "_range").agg(F.count("*").alias("_n"))
+    before = W.partitionBy("shard").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("shard", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
+    place = F.row_number().over(W.partitionBy("shard", "_range").orderBy(*order)) - 1
+    placed = ranged.withColumn("_row", place).join(offsets, ["shard", "_range"])
+    slots = placed.select("_rid", (F.col("_from") + F.col("_row")).cast("long").alias("slot"))
+    own = [F.col(f"_doc.`{c}`") for c in wanted]
+    return base.join(slots, "_rid").select(*own, "size", "text_crc32", F.lit("key").alias("law"), F.col("_jump.shard").alias("shard"), "slot", F.col("_jump.grown").alias("grown_shard"))

@@ -2,13 +2,20 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet in the shared
 folder and the next stage reads it.  Documents that the toxicity chain rejects go, then all but one of each
-near-duplicate group, then documents contaminated by the benchmark; the rest is mixed to the target
+group of near copies, then documents contaminated by the benchmark; the rest is mixed to the target
 weights of its sources, where a document may be repeated, and put into shards.
+
+Every stage takes nulls in any column (a null text has no words: it is not toxic and not contaminated, null and empty texts are
+copies of one another, and a null source is a source), repeated rows, ties, texts of any length and empty tables (no rows
+in, none out).  All but the last return the columns of their input, whatever further columns it has; the last replaces
+columns named as its results.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acreledger.llm.common import read
@@ -21,23 +28,25 @@ from acreledger.llm.warc import remove
 from acreledger.session import new_work_dir
 
 
-def _as(docs: DataFrame, like: DataFrame) -> DataFrame:
-    return docs.select(*[F.col(f"`{c}`") for c in like.columns])
+def _judged(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], good: Column) -> DataFrame:
+    """Rows of ``docs`` that the operator finds ``good``; further columns wait under other names meanwhile."""
+    names = [c if c in ("doc_id", "text") else f"own_{i}" for i, c in enumerate(docs.columns)]
+    return operator(docs.toDF(*names)).filter(good).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain does not call toxic; it is trained on the labelled ones among them."""
-    return _as(judge_toxicity(docs, read(spark, sf_dir, "labels")).filter(~F.col("toxic")), docs)
+    return _judged(docs, lambda d: judge_toxicity(d, read(spark, sf_dir, "labels")), ~F.col("toxic"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of shingle similarity 0.8 or more (five words)."""
-    return distinct_documents(docs)
+    """One document of each group that SimHash fingerprints link: three words a shingle, two bits apart at most."""
+    return distinct_documents(docs, shingle=3, most=2)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lie in benchmark windows."""
-    return _as(contamination(docs, read(spark, sf_dir, "benchmark")).filter(~F.col("contaminated")), docs)
+    return _judged(docs, lambda d: contamination(d, read(spark, sf_dir, "benchmark")), ~F.col("contaminated"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -110,9 +110,15 @@ def test_one_more_shard_takes_rows_only_into_itself(spark):
 def test_slots_have_no_gaps(spark):
     import zlib
 
-    placed = assign_shards(awkward(spark, clashes=True), 3, rows_per_block=2).collect()
+    rows = [*ROWS, *[(1, "a row like others", "en", "a")] * 40]
+    docs = awkward(spark, rows, clashes=True)
+    for name in ("_s", "_doc", "_rid", "_range", "_mix", "_key"):
+        docs = docs.selectExpr("*", f"'own' AS `{name}`")
+    placed = assign_shards(docs.repartition(5), 3, per_range=4)
+    assert {r["_s"] for r in placed.select("_s").collect()} == {"own"} and set(docs.columns) <= set(placed.columns)
+    placed = placed.collect()
     assert Counter(map(str, [(r["doc_id"], r["size"], r["text_crc32"]) for r in placed])) == Counter(
-        map(str, [(r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in ROWS])
+        map(str, [(r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in rows])
     )
     by = defaultdict(list)
     for r in placed:
