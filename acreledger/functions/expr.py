@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -11,19 +12,80 @@ from pyspark.sql import functions as F
 # nine digits behind the point: exact for every denominator that divides 10**9
 MONEY = "decimal(28,9)"
 WHOLE = "decimal(20,0)"
-RATIO = "decimal(22,6)"
+# eighteen digits: products of two such amounts, and sums of quotients before their one rounding
+FINE = "decimal(38,18)"
+RATIO = "decimal(29,9)"
+
+
+def column(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def _shares(denom: Column, digits: int) -> Column:
+    """1/denom for powers of ten up to ``digits``, else null: a product is several times cheaper than a division."""
+    share = F.when(denom == 100, F.lit(Decimal(1).scaleb(-2)).cast(f"decimal({digits + 1},{digits})"))
+    for k in (0, 1, *range(3, digits + 1)):
+        share = share.when(denom == 10**k, F.lit(Decimal(1).scaleb(-k)).cast(f"decimal({digits + 1},{digits})"))
+    return share
 
 
 def rational(num: str | Column, denom: str | Column) -> Column:
-    """numerator/denominator as a decimal; zero denominator gives null.
+    """numerator/denominator of one row as a decimal; zero denominator gives null.
+
+    Exact for denominators that divide 10**9; others round half up at the ninth digit.  Powers of
+    ten are a product, only what is left is divided.  Sums over many rows take :func:`whole_sum` and
+    :func:`quotient` (operators.sums), which divide once per group.
+    """
+    n, d = column(num).cast(WHOLE), column(denom)
+    return F.coalesce((n * _shares(d, 9)).cast(MONEY), F.try_divide(n, d.cast(WHOLE)).cast(MONEY))
+
+
+def is_positive(num: str | Column, denom: str | Column) -> Column:
+    """Whether numerator/denominator is above zero, from the signs alone; null for a zero denominator."""
+    n, d = column(num), column(denom)
+    return F.when(d != 0, (n > 0) == (d > 0)) & (n != 0)
+
+
+def product(num: str | Column, denom: str | Column, num2: str | Column, denom2: str | Column) -> Column:
+    """Product of two rationals with eighteen digits, so two exact amounts have an exact product.
+
+    The numerators are multiplied as whole numbers; a zero denominator gives null.
+    """
+    n = (column(num).cast(WHOLE) * column(num2).cast(WHOLE)).cast("decimal(38,0)")
+    d, e = column(denom), column(denom2)
+    quick = F.when((d == 100) & (e == 100), (n * F.lit(Decimal("0.0001"))).cast(FINE))
+    return F.coalesce(quick, quotient(n, (d.cast(WHOLE) * e.cast(WHOLE)).cast("decimal(38,0)")))
+
+
+def whole_sum(c: str | Column) -> Column:
+    """Exact sum of whole numbers (long) as a decimal.
+
+    Two sums of longs, of the parts above and below 24 bits, take no decimal arithmetic per row and hold more
+    rows than any table has; an overflow of the upper part would raise, never wrap.
+    """
+    c = column(c)
+    low = (1 << 24) - 1
+    high = F.sum(F.shiftright(c, 24)).cast("decimal(28,0)") * F.lit(Decimal(1 << 24))
+    return (high + F.sum(c.bitwiseAND(F.lit(low)))).cast("decimal(38,0)")
+
+
+def quotient(total: Column, denom: str | Column) -> Column:
+    """A whole number over a denominator with eighteen digits, zero denominator null.
 
-    The division is one of decimals, so it is exact for denominators that divide
-    10**9 and rounds half up at the ninth digit for others.  Sums of decimals do not
-    depend on partitioning, as sums of doubles would.
+    The whole part and the rest are divided apart, as one division of wide decimals keeps six digits only.
     """
-    n = F.col(num) if isinstance(num, str) else num
-    d = F.col(denom) if isinstance(denom, str) else denom
-    return F.try_divide(n.cast(WHOLE), d.cast(WHOLE)).cast(MONEY)
+    d = F.nullif(column(denom).cast("decimal(38,0)"), F.lit(Decimal(0)).cast("decimal(38,0)"))
+    rest = total % d
+    whole = F.try_divide(total - rest, d).cast("decimal(19,0)")
+    # a rest is smaller than its denominator; widths are such that neither step gives up digits
+    small = F.try_divide(rest.cast(WHOLE), d.cast(WHOLE)).cast("decimal(19,18)")
+    return (whole.cast("decimal(37,18)") + small).cast(FINE)
+
+
+def times(a: Column, b: Column) -> Column:
+    """Product of two decimals of nine digits with eighteen; plain products of wide decimals keep six."""
+    whole = [(x.cast("decimal(38,9)") * F.lit(Decimal(10**9))).cast("decimal(38,0)") for x in (a, b)]
+    return quotient((whole[0] * whole[1]).cast("decimal(38,0)"), F.lit(Decimal(10**18)))
 
 
 def in_year(column: str | Column, year: int | None, through: bool = False) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sums import exact_totals
+
 STEPS = {"day": "1 day", "week": "7 days", "month": "1 month"}
 
 
@@ -27,19 +29,20 @@ def resample(
     unit: str = "day",
     how: str = "sum",
     group: list[str] | None = None,
+    pair: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Sum or mean per calendar bucket from the first to the last bucket present.
 
     Buckets without rows give 0 for a sum and null for a mean.  With ``group`` each
-    group has its own calendar.  The calendar is built from the aggregated buckets,
+    group has its own calendar.  ``pair`` names the integer columns of a rational that is summed exactly as
+    ``value``.  The calendar is built from the aggregated buckets,
     so its size is the number of days, weeks or months, not of rows.
     """
     group = group or []
     label = bucket_label(time, unit)
     agg = F.sum(value) if how == "sum" else F.try_divide(F.sum(value).cast("double"), F.count(value))
-    filled = (
-        df.where(F.col(time).isNotNull()).groupBy(*group, label.alias("bucket")).agg(agg.alias(value))
-    )
+    dated, keys = df.where(F.col(time).isNotNull()), [*group, label.alias("bucket")]
+    filled = exact_totals(dated, keys, {value: pair}) if pair else dated.groupBy(*keys).agg(agg.alias(value))
     span = filled.groupBy(*group).agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
     step = F.expr(f"interval {STEPS[unit]}")
     days = F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"), step) if unit == "month" else F.sequence("lo", "hi", step)

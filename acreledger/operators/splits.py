@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import in_years, rational, sum0
+from ..functions.expr import in_years, rational
+from .sums import exact_totals
 
 
 def in_folders(df: DataFrame, years: Sequence[int] | None) -> DataFrame:
@@ -62,15 +63,20 @@ def splits_with_accounts(
     return splits.join(accounts, "account_guid")
 
 
-def with_amounts(df: DataFrame, factor: int | Column = 1) -> DataFrame:
-    """Decimal ``amt`` and ``qty``; a sign or weight multiplies the integer numerator."""
+#: Sums over rows that keep their integer pairs (``pairs=True``), for :func:`~.sums.exact_totals`.
+AMOUNTS = {"amt": ("value_num", "value_denom"), "qty": ("quantity_num", "quantity_denom")}
+
+
+def with_amounts(df: DataFrame, factor: int | Column = 1, pairs: bool = False) -> DataFrame:
+    """Decimal ``amt`` and ``qty``; a sign or weight multiplies the integer numerator.
+
+    ``pairs`` keeps the multiplied integer pairs as well, for sums; decimals that nobody selects
+    are then never computed.
+    """
     factor = factor if isinstance(factor, Column) else F.lit(factor)
-    return df.withColumns(
-        {
-            "amt": rational(F.col("value_num") * factor, F.col("value_denom")),
-            "qty": rational(F.col("quantity_num") * factor, F.col("quantity_denom")),
-        }
-    ).drop("value_num", "value_denom", "quantity_num", "quantity_denom")
+    weighted = df.withColumns({num: F.col(num) * factor for num, _ in AMOUNTS.values()})
+    rows = weighted.withColumns({name: rational(*pair) for name, pair in AMOUNTS.items()})
+    return rows if pairs else rows.drop(*[c for pair in AMOUNTS.values() for c in pair])
 
 
 def transaction_heads(ledger, years: Sequence[int] | None = None) -> DataFrame:
@@ -85,9 +91,9 @@ def transaction_heads(ledger, years: Sequence[int] | None = None) -> DataFrame:
     )
 
 
-def all_transactions(ledger, years: Sequence[int] | None = None) -> DataFrame:
+def all_transactions(ledger, years: Sequence[int] | None = None, pairs: bool = False) -> DataFrame:
     """Every split with its account and transaction."""
-    return with_amounts(splits_with_accounts(ledger, None, transaction_heads(ledger, years), years))
+    return with_amounts(splits_with_accounts(ledger, None, transaction_heads(ledger, years), years), 1, pairs)
 
 
 def counter_splits(
@@ -97,6 +103,7 @@ def counter_splits(
     years: Sequence[int] | None = None,
     distinct_splits: bool = False,
     accounts: DataFrame | None = None,
+    pairs: bool = False,
 ) -> DataFrame:
     """Splits joined to the *other* accounts of their transaction.
 
@@ -144,7 +151,7 @@ def counter_splits(
     else:
         sources = sources.distinct()
         joined = splits.join(sources, "tx_guid").where(F.col("account_guid") != F.col("src_guid"))
-    return with_amounts(joined, -1 if inverse else 1)
+    return with_amounts(joined, -1 if inverse else 1, pairs)
 
 
 def source_counts(ledger, types: Sequence[str], years: Sequence[int] | None = None) -> DataFrame:
@@ -171,12 +178,37 @@ def counter_flows(
     """J2 in weighted form: one row per split of the accounts *outside* ``types``.
 
     ``sources`` says how often the split appears in the inverse counter-split join.
-    ``amt`` and ``qty`` are already multiplied by it, so their sums equal those over
-    the joined rows, without the fan-out.
+    ``amt`` and ``qty``, and the integer pairs they come from, are already multiplied by it, so
+    their sums equal those over the joined rows, without the fan-out.
     """
     heads = transaction_heads(ledger, years)
     outside = splits_with_accounts(ledger, accounts, heads, years).where(~F.col("account_type").isin(*types))
-    return with_amounts(outside.join(source_counts(ledger, types, years), "tx_guid"), -F.col("sources"))
+    return with_amounts(outside.join(source_counts(ledger, types, years), "tx_guid"), -F.col("sources"), pairs=True)
+
+
+def counter_totals_by_source(ledger, types: Sequence[str], heads: DataFrame) -> DataFrame:
+    """J2 inverse summed per source account: ``src_guid, amt, qty, rows``, without the fan-out.
+
+    What stands against an account in a transaction is the transaction's total less the account's own
+    splits.  Splits are summed per transaction and account, those sums per transaction, and a source meets one
+    row per transaction and pair of denominators: no step has more rows than there are splits.  ``heads`` holds the
+    ``tx_guid`` of the wanted transactions.  Sources without a counter split give no row.
+    """
+    known = ledger.accounts.select(F.col("guid").alias("account_guid"), F.col("account_type").isin(*types).alias("source"))
+    splits = ledger.splits.select("tx_guid", "account_guid", *[c for pair in AMOUNTS.values() for c in pair])
+    denoms = [denom for _, denom in AMOUNTS.values()]
+    nums = [num for num, _ in AMOUNTS.values()]
+    own = (
+        splits.join(heads.select("tx_guid"), "tx_guid", "left_semi")
+        .join(known, "account_guid")
+        .groupBy("tx_guid", "account_guid", "source", *denoms)
+        .agg(*[F.sum(n).alias(n) for n in nums], F.count(F.lit(1)).alias("rows"))
+    )
+    totals = own.groupBy("tx_guid", *denoms).agg(*[F.sum(c).alias(c) for c in (*nums, "rows")])
+    sources = own.where("source").select("tx_guid", F.col("account_guid").alias("src_guid"))
+    against = sources.distinct().join(totals, "tx_guid").select("src_guid", *denoms, *[(-F.col(n)).alias(n) for n in nums], "rows")
+    itself = own.where("source").select(F.col("account_guid").alias("src_guid"), *denoms, *nums, (-F.col("rows")).alias("rows"))
+    return exact_totals(against.unionByName(itself), ["src_guid"], AMOUNTS, {"rows": F.col("rows")}).where("rows > 0")
 
 
 def account_totals(ledger, year: int | None = None) -> DataFrame:
@@ -185,13 +217,11 @@ def account_totals(ledger, year: int | None = None) -> DataFrame:
     Splits are summed by account guid before account attributes are joined, so a
     hot account shrinks to one row per map task before anything is shuffled.
     """
-    splits = in_folders(ledger.splits, [year] if year else None).select(
-        "tx_guid", "account_guid", rational("value_num", "value_denom").alias("amt")
-    )
+    splits = in_folders(ledger.splits, [year] if year else None).select("tx_guid", "account_guid", *AMOUNTS["amt"])
     if year:
         heads = transaction_heads(ledger, [year]).select("tx_guid")
         splits = splits.join(heads, "tx_guid", "left_semi")
-    sums = splits.groupBy("account_guid").agg(sum0("amt").alias("amt"), F.count(F.lit(1)).alias("splits"))
+    sums = exact_totals(splits, ["account_guid"], {"amt": AMOUNTS["amt"]}, {"splits": F.lit(1)})
     accounts = ledger.accounts.select(
         F.col("guid").alias("account_guid"),
         F.col("code").alias("account_code"),

@@ -96,13 +96,14 @@ def farm_flows(
 
     ``amt`` (and ``quantity``) carry the number of cash accounts of the
     transaction, so sums equal those over :func:`farm_cash_transactions` while no
-    row is repeated.  Quantities and paths are joined only when asked for.
+    row is repeated.  Quantities and paths are joined only when asked for.  Summaries add up
+    the integer pairs, so the decimals of the rows are computed only where they are shown.
     """
     accounts = all_accounts(ledger, crops or CROPS, level) if paths else None
     tx = _clean(counter_flows(ledger, CASH_TYPES, years, accounts))
     tx = _farm(tx, rules or FARM_RULES, excluded or HARVEST_CODES)
     if quantity:
         tx = _with_quantity(ledger, tx, years).withColumn(
-            "quantity", (F.col("quantity") * F.col("sources")).cast("decimal(24,4)")
+            "quantity", F.col("quantity").cast("decimal(28,9)") * F.col("sources").cast("decimal(9,0)")
         )
     return tx

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import derived_guid, in_years
+from ..functions.expr import MONEY, derived_guid, in_years
 from ..functions.toml import toml_section
 from ..operators.schedule import depreciation_rows
 from ..operators.tree import all_accounts
@@ -58,12 +58,12 @@ def depreciation_transactions(
         F.col("post_date").cast("timestamp").alias("post_date"),
         F.lit("DEPR").alias("split_action"),
         derived_guid("guid", "row_number", F.lit("split")).alias("split_guid"),
-        F.col("amt").cast("decimal(24,6)").alias("amt"),
+        F.col("amt").cast(MONEY).alias("amt"),
         now.alias("reconcile_date"),
         F.lit("").alias("reconcile_state"),
         F.col("name").alias("memo"),
         "finpack_account",
         "parent_accounts",
-        F.lit(1).cast("decimal(24,4)").alias("quantity"),
+        F.lit(1).cast(MONEY).alias("quantity"),
         "endless",
     )

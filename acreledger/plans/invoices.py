@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import MONEY, in_year, in_years, matches, ratio, rational, sum0
+from ..functions.expr import MONEY, in_year, in_years, matches, product, ratio, rational, sum0
 from ..functions.text import link_id
+from ..operators.splits import AMOUNTS
+from ..operators.sums import exact_totals
 from ..operators.tree import all_accounts
 from .chart import CAPITAL_PREFIX, CROPS, GRAIN_CODES, PAID_TOLERANCE
 
@@ -22,38 +24,39 @@ def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def _line(kind: str) -> Column:
-    """The columns of an entry as a line of one kind, under the common names."""
-    bill = kind == "BILL"
-    side = "b" if bill else "i"
-    quantity = rational("quantity_num", "quantity_denom")
-    price = rational(f"{side}_price_num", f"{side}_price_denom")
-    return F.struct(
-        F.lit(kind).alias("inv_type"),
-        F.col("bill" if bill else "invoice").alias("inv_guid"),
-        F.col(f"{side}_acct").alias("account_guid"),
-        F.col("guid").alias("entry_guid"),
-        F.col("description"),
-        quantity.alias("quantity"),
-        price.alias("price"),
-        (quantity * price).cast("decimal(24,6)").alias("amt"),
-        F.col("action").alias("quantity_type"),
-        (_text("b_paytype") if bill else F.lit("0")).alias("paytype"),
-        (F.lit("") if bill else F.col("i_disc_how")).alias("disc_how"),
-        (F.lit("") if bill else F.col("i_disc_type")).alias("disc_type"),
-        (F.lit(0).cast(MONEY) if bill else rational("i_discount_num", "i_discount_denom")).alias("disc_amt"),
-        _text(f"{side}_taxable").alias("taxable"),
-        _text(f"{side}_taxincluded").alias("taxincluded"),
-        F.col(f"{side}_taxtable").alias("taxtable"),
-        F.col("date").alias("entry_date"),
-    )
-
-
 def _lines(ledger) -> DataFrame:
-    """Entries as bill and invoice lines, from one pass over them."""
-    entries = ledger.entries.where(F.col("bill").isNotNull() | F.col("invoice").isNotNull())
-    kinds = F.array(_line("BILL"), _line("INVOICE"))
-    return entries.select(F.inline(F.filter(kinds, lambda line: line["inv_guid"].isNotNull())))
+    """Entries as bill and invoice lines under common names, from one pass over them.
+
+    The kind is settled first; each column is then picked from its side, so columns that a report
+    does not name are neither read nor computed.  An entry that is on a bill and on an invoice gives a line of each.
+    """
+    bill, invoice = F.col("bill").isNotNull(), F.col("invoice").isNotNull()
+    kinds = F.when(bill & invoice, F.array(F.lit("BILL"), F.lit("INVOICE"))).when(bill, F.array(F.lit("BILL")))
+    lines = ledger.entries.where(bill | invoice).withColumn(
+        "inv_type", F.explode(kinds.otherwise(F.array(F.lit("INVOICE"))))
+    )
+    billed = F.col("inv_type") == "BILL"
+    side = lambda on_bill, on_invoice: F.when(billed, on_bill).otherwise(on_invoice)
+    price = [side(F.col(f"b_price_{part}"), F.col(f"i_price_{part}")) for part in ("num", "denom")]
+    picked = {
+        "inv_guid": side(F.col("bill"), F.col("invoice")),
+        "account_guid": side(F.col("b_acct"), F.col("i_acct")),
+        "entry_guid": F.col("guid"),
+        "description": F.col("description"),
+        "quantity": rational("quantity_num", "quantity_denom"),
+        "price": rational(*price),
+        "amt": product("quantity_num", "quantity_denom", *price),
+        "quantity_type": F.col("action"),
+        "paytype": side(_text("b_paytype"), F.lit("0")),
+        "disc_how": side(F.lit(""), F.col("i_disc_how")),
+        "disc_type": side(F.lit(""), F.col("i_disc_type")),
+        "disc_amt": side(F.lit(0).cast(MONEY), rational("i_discount_num", "i_discount_denom")),
+        "taxable": side(_text("b_taxable"), _text("i_taxable")),
+        "taxincluded": side(_text("b_taxincluded"), _text("i_taxincluded")),
+        "taxtable": side(F.col("b_taxtable"), F.col("i_taxtable")),
+        "entry_date": F.col("date"),
+    }
+    return lines.select("inv_type", *[value.alias(name) for name, value in picked.items()])
 
 
 def _parties(ledger) -> DataFrame:
@@ -154,7 +157,7 @@ def invoice_quantities(ledger, years: int | Sequence[int] | None = None) -> Data
 def payments(splits: DataFrame) -> DataFrame:
     """Paid amount per lot."""
     paid = splits.where(F.col("lot_guid").isNotNull() & (F.col("action") == "Payment"))
-    return paid.groupBy("lot_guid").agg(sum0(rational("value_num", "value_denom")).alias("payment_amt"))
+    return exact_totals(paid, ["lot_guid"], {"payment_amt": AMOUNTS["amt"]})
 
 
 def sibling_discounts(lines: DataFrame, grain_codes: str = GRAIN_CODES) -> DataFrame:
@@ -192,7 +195,7 @@ def contract_status(
     wanted = ledger.invoices.where(in_year("date_posted", year)).select(F.col("id").alias("inv_id"))
     lines = (
         invoice_lines(ledger, heads=heads.join(wanted.distinct(), "inv_id", "left_semi"))
-        .withColumn("amount", (F.col("amt") - F.col("disc_amt")).cast("decimal(24,6)"))
+        .withColumn("amount", F.col("amt").cast("decimal(37,18)") - F.col("disc_amt"))
         .withColumn("in_year", F.coalesce(in_year("date_posted", year), F.lit(False)))
     )
     crop = all_accounts(ledger, crops or CROPS).select(F.col("guid").alias("account_guid"), "crop")
@@ -209,7 +212,8 @@ def contract_status(
         .join(payments(ledger.splits).withColumnRenamed("lot_guid", "post_lot"), "post_lot", "left")
         .withColumn("discount_amt", F.coalesce("discount_amt", F.lit(0)))
     )
-    rest = F.abs(F.col("amount") + F.col("discount_amt") + F.col("payment_amt"))
+    parts = [F.col(c).cast("decimal(34,18)") for c in ("amount", "discount_amt", "payment_amt")]
+    rest = F.abs(parts[0] + parts[1] + parts[2])
     # The labels of the report
     return settled.select(
         F.col("date_opened").alias("Contract Date"),

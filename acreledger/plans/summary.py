@@ -9,14 +9,26 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import icon_file, label_with_code, sum0
 from ..operators.reshape import detail_with_totals, pivot_mean, trend_text
+from ..operators.splits import AMOUNTS
+from ..operators.sums import TOTAL, exact_totals
 from .chart import OTHER_ORDER, SUMMARY_ORDER
 
 
 def summary(tx: DataFrame, keys: Sequence[str], by_year: bool = False) -> DataFrame:
-    """Sums of amount and quantity per key, per posting year on request."""
-    sums = [sum0(c).alias(c) for c in ("quantity", "amt") if c in tx.columns]
+    """Sums of amount and quantity per key, per posting year on request.
+
+    Rows that carry integer pairs are added up exactly; rows without (a schedule's) add their ``amt``.
+    """
     grouping = [F.year("post_date").alias("year")] if by_year else []
-    return tx.groupBy(*grouping, *keys).agg(*sums)
+    if "value_num" not in tx.columns:
+        return tx.groupBy(*grouping, *keys).agg(*[sum0(c).alias(c) for c in ("quantity", "amt") if c in tx.columns])
+    plain = F.when(F.col("value_denom").isNull(), F.col("amt"))
+    more = {"quantity": F.col("quantity")} if "quantity" in tx.columns else {}
+    out = exact_totals(tx, [*grouping, *keys], {"amt": AMOUNTS["amt"]}, {"plain": plain, **more})
+    zero, narrow = F.lit(0), "decimal(37,9)"  # sums of wider decimals would give up a digit
+    both = F.col("amt").cast(narrow) + F.coalesce("plain", zero).cast(narrow)
+    summed = {"amt": both.cast(TOTAL), **{c: F.coalesce(c, zero) for c in more}}
+    return out.withColumns(summed).select(*out.columns[: len(grouping) + len(keys)], *more, "amt")
 
 
 def summary_by_account(tx: DataFrame, by_year: bool = False) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import in_year, numeric_prefix, rational, sum0
+from ..functions.expr import in_year, numeric_prefix, product, rational, sum0, times
 from ..operators.pattern import like_join
 from ..operators.tree import all_accounts
 from .chart import CROPS, DEPOSIT_CODE, WAGE_PATTERN
@@ -46,9 +48,7 @@ def vendor_1099_lines(ledger, year: int | None = None) -> DataFrame:
     lines = ledger.entries.select(
         "bill",
         F.col("b_acct").alias("acct_guid"),
-        (rational("quantity_num", "quantity_denom") * rational("b_price_num", "b_price_denom"))
-        .cast("decimal(24,6)")
-        .alias("amt"),
+        product("quantity_num", "quantity_denom", "b_price_num", "b_price_denom").alias("amt"),
     )
     names = ledger.accounts.select(F.col("guid").alias("acct_guid"), F.col("name").alias("acct_name"))
     return lines.join(wanted, "bill").drop("bill").join(names, "acct_guid")
@@ -86,7 +86,7 @@ def deductible_splits(ledger, year: int) -> DataFrame:
         .join(related, "account_guid")
     )
     rows = _account_splits(ledger, accounts).join(_heads(ledger, year), "tx_guid")
-    pct = numeric_prefix("code").cast("decimal(18,4)")
+    pct = numeric_prefix("code").cast("decimal(20,9)")
     return (
         rows.select(
             "Acct",
@@ -97,7 +97,7 @@ def deductible_splits(ledger, year: int) -> DataFrame:
             pct.alias("Deduct_Percentage"),
         )
         .na.drop("any")
-        .withColumn("Deduct_Total", F.round(F.col("Amt") * F.col("Deduct_Percentage") / 100, 2).cast("decimal(24,2)"))
+        .withColumn("Deduct_Total", F.round(times(F.col("Amt"), F.col("Deduct_Percentage")) * F.lit(Decimal("0.01")), 2).cast("decimal(24,2)"))
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import DecimalType
 
 from acreledger import Ledger
 from acreledger.functions import expr, text
-from acreledger.operators import asof, calendar, entries, keys, reshape, schedule, splits, tree
+from acreledger.operators import asof, calendar, entries, keys, reshape, schedule, splits, sums, tree
 from acreledger.plans import (
     cash,
     chart,
@@ -150,41 +150,30 @@ def all_transactions(ledger):
 @query
 def counter_splits(ledger):
     """J2 inverse, summed per source account and type of the other side"""
-    return (
-        splits.counter_splits(ledger, chart.CASH_TYPES)
-        .groupBy("src_guid", "src_name", "account_type")
-        .agg(expr.sum0("amt").alias("amt"), expr.sum0("qty").alias("qty"), count_rows())
-    )
+    rows = splits.counter_splits(ledger, chart.CASH_TYPES, pairs=True)
+    return sums.exact_totals(rows, ["src_guid", "src_name", "account_type"], splits.AMOUNTS, {"row_count": F.lit(1)})
 
 
 @query
 def counter_splits_direct(ledger):
     """J2 direct"""
-    return (
-        splits.counter_splits(ledger, chart.STOCK_TYPES, inverse=False)
-        .groupBy("account_guid", "src_type")
-        .agg(expr.sum0("amt").alias("amt"), expr.sum0("qty").alias("qty"), count_rows())
-    )
+    rows = splits.counter_splits(ledger, chart.STOCK_TYPES, inverse=False, pairs=True)
+    return sums.exact_totals(rows, ["account_guid", "src_type"], splits.AMOUNTS, {"row_count": F.lit(1)})
 
 
 @query
 def counter_splits_once(ledger):
     """J2 with each split counted once"""
-    return (
-        splits.counter_splits(ledger, chart.CASH_TYPES, distinct_splits=True)
-        .groupBy("src_guid", "account_type")
-        .agg(expr.sum0("amt").alias("amt"), count_rows())
-    )
+    rows = splits.counter_splits(ledger, chart.CASH_TYPES, distinct_splits=True, pairs=True)
+    amounts = {"amt": splits.AMOUNTS["amt"]}
+    return sums.exact_totals(rows, ["src_guid", "account_type"], amounts, {"row_count": F.lit(1)})
 
 
 @query
 def counter_flows(ledger):
     """J2 in weighted form"""
-    return (
-        splits.counter_flows(ledger, chart.CASH_TYPES)
-        .groupBy("account_guid")
-        .agg(expr.sum0("amt").alias("amt"), expr.sum0("qty").alias("qty"), F.sum("sources").alias("row_count"))
-    )
+    flows = splits.counter_flows(ledger, chart.CASH_TYPES)
+    return sums.exact_totals(flows, ["account_guid"], splits.AMOUNTS, {"row_count": F.col("sources")})
 
 
 @query
@@ -208,10 +197,14 @@ def reclassified(ledger):
 def farm_with_depreciation(ledger):
     """R17 with G2, summed per code and ancestor"""
     rows = depreciation.depreciation_transactions(ledger, YEAR, CROP_WORDS, LEVEL)
-    tx = cash.farm_cash_transactions(ledger, [YEAR], rows, level=LEVEL, crops=CROP_WORDS)
-    return tx.groupBy("account_code", "finpack_account").agg(
-        F.round(F.sum("amt"), 2).alias("amt"), expr.sum0("quantity").alias("quantity"), count_rows()
-    )
+    flows = cash.farm_flows(ledger, [YEAR], quantity=True, paths=True, level=LEVEL, crops=CROP_WORDS)
+    tx = flows.unionByName(rows, allowMissingColumns=True)
+    keys = ["account_code", "finpack_account"]
+    counted = tx.groupBy(*keys).agg(F.sum(F.coalesce("sources", F.lit(1))).alias("row_count"))
+    # null keys are groups of their own
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    both = summary.summary(tx, keys).alias("a").join(counted.alias("b"), same)
+    return both.select("a.*", "row_count").withColumn("amt", F.round("amt", 2))
 
 
 # --- summaries -----------------------------------------------------------------
@@ -299,11 +292,7 @@ def running_position(ledger):
 @query
 def balance_details(ledger):
     """R8 R10 U-2: detail rows of all categories, summed per account"""
-    return (
-        position.balance_sheet_details(ledger, YEAR, quantity=False, paths=False)
-        .groupBy("balance_sheet_category", "account_guid")
-        .agg(expr.sum0("amt").alias("amt"), expr.sum0("qty").alias("qty"), count_rows())
-    )
+    return position.balance_totals(ledger, YEAR).withColumnsRenamed({"category": "balance_sheet_category", "rows": "row_count"})
 
 
 @query
@@ -655,9 +644,11 @@ def monthly_mean(ledger):
 @query
 def daily_orders(ledger):
     """W1 on postings: splits per day and type of action, every group with its own calendar"""
-    tx = splits.all_transactions(ledger).select("post_date", "split_action", "amt")
-    credit = tx.where(F.col("amt") > 0)
-    return calendar.resample(credit, "post_date", "amt", "day", "sum", ["split_action"])
+    heads = splits.transaction_heads(ledger).select("tx_guid", "post_date")
+    known = ledger.accounts.select(F.col("guid").alias("account_guid"))
+    rows = ledger.splits.select("tx_guid", "account_guid", F.col("action").alias("split_action"), *splits.AMOUNTS["amt"])
+    credit = rows.where(expr.is_positive("value_num", "value_denom")).join(heads, "tx_guid").join(known, "account_guid", "left_semi")
+    return calendar.resample(credit, "post_date", "amt", "day", "sum", ["split_action"], pair=splits.AMOUNTS["amt"])
 
 
 @query
