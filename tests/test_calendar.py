@@ -57,3 +57,33 @@ def test_note_counters(ledger_of):
     assert chicago == [(D(2024, 1, 1), 20), (D(2024, 1, 2), 5)]
     created = notes.note_rows(ledger.notes).where("note_id = '0'").collect()[0]["created_date"]
     assert created == dt.datetime(2024, 1, 1, 23, 30)
+
+
+def test_median_without_holding_a_group(spark):
+    import random
+    import statistics
+
+    rng = random.Random(6)
+    rows = [("even", float(i)) for i in range(10)] + [("odd", float(i * i)) for i in range(11)] + [("one", 4.0), ("none", None), (None, 2.0), (None, 5.0)]
+    rows += [("hot", 7.0)] * 3000 + [("hot", rng.uniform(-5, 5)) for _ in range(2500)]
+    rows += [("far", 1e300), ("far", -1e300)] + [("far", rng.gauss(0, 1e-6)) for _ in range(999)]
+    rows += [("ties", float(rng.randrange(3))) for _ in range(1000)]
+    want = {}
+    for k, v in rows:
+        want.setdefault(k, []).append(v)
+    want = {k: statistics.median(x) for k, vs in want.items() if (x := [v for v in vs if v is not None])}
+    df = spark.createDataFrame(rows, "k string, v double")
+    for buckets in (4, 4096):
+        found = {r["k"]: r["median"] for r in calendar.exact_median(df, "v", ["k"], buckets=buckets).collect()}
+        assert found == want
+    stats = {r["k"]: r for r in calendar.summary_statistics(df, "v", ["k"]).collect()}
+    assert stats["none"]["median"] is None and stats["none"]["count"] == 0 and stats["hot"]["median"] == 7.0 and stats[None]["median"] == 3.5
+    whole = calendar.summary_statistics(spark.createDataFrame([], "v int"), "v").collect()
+    assert len(whole) == 1 and whole[0]["median"] is None and whole[0]["count"] == 0
+
+
+def test_median_reads_no_group_into_one_task(spark):
+    df = spark.range(0, 400_000, 1, 8).selectExpr("CAST(id % 1000 AS INT) AS v", "'all' AS k")
+    plan = calendar.exact_median(df, "v", ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "median" not in plan.lower().replace("as median", "") and "percentile" not in plan and "collect" not in plan
+    assert calendar.exact_median(df, "v", ["k"]).collect()[0]["median"] == 499.5

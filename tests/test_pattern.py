@@ -30,3 +30,22 @@ def test_no_nested_loop_in_plan(spark):
     p = spark.createDataFrame([(1, "j%")], "pid int, p string")
     plan = like_join(t, "t", p, "p")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_patterns_that_share_a_word_do_not_meet(spark):
+    texts = [f"the {w} of the {v}" for w in ("barn", "silo", "truck") for v in ("north", "south", "creek")] + ["the", "other"]
+    patterns = [f"%the {w}%" for w in ("barn", "silo", "truck", "plough")] + ["the%creek", "%of the north", "the _____ of%", "%the%", "%t_e%"]
+    t = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, t string")
+    p = spark.createDataFrame([(i, x) for i, x in enumerate(patterns)], "pid int, p string")
+    joined = like_join(t, "t", p, "p")
+    got = values(joined, "id", "pid")
+    assert sorted(got) == sorted((i, j) for i, x in enumerate(texts) for j, y in enumerate(patterns) if like(x, y))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(struct" in plan  # the key is chosen by how many texts hold it
+
+
+def test_clashing_columns_and_repeated_patterns(spark):
+    t = spark.createDataFrame([(1, "Jane Doe"), (2, "jane doe"), (3, None)], "gram int, t string")
+    p = spark.createDataFrame([(1, "jane%"), (2, "jane%"), (3, "JANE DOE"), (4, "%"), (5, "________")], "at int, p string")
+    got = sorted(values(like_join(t, "t", p, "p"), "gram", "at"))
+    assert got == [(i, j) for i in (1, 2) for j in (1, 2, 3, 4, 5)]
