@@ -39,6 +39,12 @@ def in_ranges(df: DataFrame, count: int, per_range: int, *order: str) -> DataFra
     return cut_lineage(ranged.withColumn("_range", F.spark_partition_id()))
 
 
+def aside(df: DataFrame, *needed: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with all columns but the ``needed`` ones under names that no operator uses, and how to select them back."""
+    names = [c if c in needed else f"own_{i}" for i, c in enumerate(df.columns)]
+    return df.toDF(*names), {c: F.col(f"`{n}`").alias(c) for n, c in zip(names, df.columns, strict=True)}
+
+
 def replace_columns(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with computed columns; input columns of these names (in any case) give way."""
     names = {name.lower() for name in columns}

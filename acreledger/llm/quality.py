@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WHITE, WORD, replace_columns
+from .common import WHITE, aside
 
 SYMBOLS = "#*$%&|<>"
 #: Cutoffs from loose to strict: symbols per word character, repeated lines per line with a word, repeated words per word.
@@ -76,26 +76,29 @@ def _repeated(words: Column) -> Column:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows with ``n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words, base_failed``.
 
-    Null texts measure as empty ones.  Input columns with these names are replaced.  Everything is computed
+    Null texts measure as empty ones.  Input columns with these names are replaced, all others come back whatever
+    their names.  Everything is computed
     inside the row, so nothing is shuffled and a long text costs its own length only.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "base_failed"]
+    docs, own = aside(docs, text)
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     words = F.filter(F.split(body, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
     lines = F.filter(F.split(body, "\n", -1), lambda x: _without(x, WHITE) != "")
     by_words = _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated(w).cast("long").alias("r")))
     by_lines = _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("d")))
-    found = replace_columns(docs, _words=by_words, _lines=by_lines)
-    measured = replace_columns(
-        found,
-        n_words=F.col("_words.n"),
-        word_chars=F.length(_without(body, WHITE)).cast("long"),
-        n_symbols=(F.length(body) - F.length(_without(body, SYMBOLS))).cast("long"),
-        n_dup_lines=F.col("_lines.d"),
-        n_lines=F.col("_lines.n"),
-        n_repeat_words=F.col("_words.r"),
-    ).drop("_words", "_lines")
+    found = docs.select("*", by_words.alias("_words"), by_lines.alias("_lines"))
+    measured = found.select(
+        *[column for name, column in own.items() if name.lower() not in names],
+        F.col("_words.n").alias("n_words"),
+        F.length(_without(body, WHITE)).cast("long").alias("word_chars"),
+        (F.length(body) - F.length(_without(body, SYMBOLS))).cast("long").alias("n_symbols"),
+        F.col("_lines.d").alias("n_dup_lines"),
+        F.col("_lines.n").alias("n_lines"),
+        F.col("_words.r").alias("n_repeat_words"),
+    )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return replace_columns(measured, base_failed=failed)
+    return measured.withColumn("base_failed", failed)
 
 
 def strictness() -> Column:
@@ -166,8 +169,9 @@ def judge(
     rejects it.  A null stratum is a stratum, as is one without labels (which rejects nothing).  Without
     documents there are no rows, without labels only the base rules act.
     """
-    name = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit(""))
-    rated = replace_columns(measured, _strict=strictness(), _stratum=name)
+    name = F.coalesce(F.concat(F.lit("="), F.col(f"`{stratum}`").cast("string")), F.lit(""))
+    measured, own = aside(measured, key, stratum, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "base_failed")
+    rated = measured.select("*", strictness().alias("_strict"), name.alias("_stratum"))
     good = labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(key).alias("_id")).agg(F.min("quality").alias("_q"))
     passed = rated.filter(~F.col("base_failed")).select(F.col(key).alias("_key"), "_stratum", "_strict")
     holdout = passed.join(good.filter("_q = 1"), F.col("_key") == F.col("_id"), "left_semi")
@@ -178,4 +182,5 @@ def judge(
     leveled = rated.join(levels.withColumnRenamed("level", "_level"), F.col("_stratum") == F.col("_name"), "left")
     level = F.coalesce(F.col("_level"), F.lit(0)).cast("int")
     kept = ~F.col("base_failed") & (F.col("_strict") > level)
-    return replace_columns(leveled, level=level, kept=kept).drop("_strict", "_stratum", "_name", "_level")
+    kept_columns = [column for name, column in own.items() if name.lower() not in ("level", "kept")]
+    return leveled.select(*kept_columns, level.alias("level"), kept.alias("kept"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from acreledger.session import cut_lineage
 
-from .common import replace_columns
+from .common import aside, replace_columns
 
 #: What stands before a value: a name of a credential with its sign, a name before a quote, or scheme and user of an address.
 _NAME = r"(?<![\w.\-])[\w.\-]*?(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key|credential|auth)[\w\-]*+[\"']?\s*+"
@@ -40,35 +40,49 @@ DICTIONARY = (
 FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_other", "f_switch", "f_pairs", "f_kinds", "f_cover", "f_named", "f_assigned", "f_quoted", "f_sample_path", "f_depth", "f_word_before", "f_word_after"]
 
 
+def _running(sizes: Column) -> Column:
+    """Running sums of an array of numbers, by doubling steps: n log n, however long a text is."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(sizes) + 1)).cast("int"))
+    add = lambda a, k: F.transform(a, lambda x, i: x + F.coalesce(F.get(a, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)))
+    return F.aggregate(steps, sizes, add)
+
+
 def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
     """One row per candidate: the columns of ``docs`` but the text, with ``finding, start, before, after, path``.
 
-    ``start`` counts code points from 1.  Places are found by walking the matches in order, each from the end
-    of the one before.  Null and empty texts have no candidates.
+    ``start`` counts code points from 1.  The text is taken apart at its candidates; places are running sums of the
+    pieces' lengths and contexts are joined from the pieces nearby, so the work grows with the text, not with its
+    square.  Null and empty texts have no candidates.  Input columns with the names of results are replaced, all others
+    come back whatever their names.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
-    found = F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0))
-    start = F.struct(F.array().cast("array<struct<finding:string,start:int>>").alias("all"), F.lit(1).alias("at"))
-
-    def walk(a: Column, m: Column) -> Column:
-        at = F.call_function("locate", m, F.col("_body"), a["at"])
+    new = ("finding", "start", "before", "after", "path")
+    slim, own = aside(docs, text, path)
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = slim.select("*", body.alias("_body"), F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("_found")).filter(F.size("_found") > 0)
+    rows = rows.withColumn("_pieces", F.split("_body", CANDIDATE, -1))
+    # pieces and candidates in turn; of each the ends that a context can take from it
+    turn = F.transform(F.sequence(F.lit(0), 2 * F.size("_found")), lambda k: F.when(k % 2 == 0, F.get("_pieces", (k / 2).cast("int"))).otherwise(F.get("_found", ((k - 1) / 2).cast("int"))))
+    rows = rows.withColumn("_turn", turn).drop("_pieces", "_body")
+    rows = rows.withColumns({
+        "_upto": _running(F.transform("_turn", F.length)),
+        "_tails": F.transform("_turn", lambda x: F.right(x, F.lit(CONTEXT))),
+        "_heads": F.transform("_turn", lambda x: F.left(x, F.lit(CONTEXT))),
+    }).drop("_turn")
+    near = CONTEXT + 1  # so many neighbours hold a context, as no candidate is empty
+
+    def one(m: Column, i: Column) -> Column:
         value = F.regexp_replace(m, BEFORE, "")
-        one = F.array(F.struct(value.alias("finding"), (at + F.length(m) - F.length(value)).alias("start")))
-        return F.struct(F.concat(a["all"], one).alias("all"), (at + F.length(m)).alias("at"))
-
-    walked = F.aggregate("_found", start, walk, lambda a: a["all"])
-    rows = replace_columns(docs, _body=body, _found=found).filter(F.size("_found") > 0)
-    rows = rows.withColumn("_one", F.explode(walked))
-    finding, at = F.col("_one.finding"), F.col("_one.start")
-    from_ = F.greatest(at - CONTEXT, F.lit(1))
-    return replace_columns(
-        rows,
-        finding=finding,
-        start=at,
-        before=F.substring("_body", from_, at - from_),
-        after=F.substring("_body", at + F.length(finding), F.lit(CONTEXT)),
-        path=F.coalesce(F.col(path).cast("string"), F.lit("")),
-    ).drop("_body", "_found", "_one", text)
+        head = F.left(m, F.length(m) - F.length(value))
+        first = F.greatest(2 * i + 2 - near, F.lit(1))
+        left = F.concat(F.array_join(F.slice("_tails", first, 2 * i + 2 - first), ""), F.right(head, F.lit(CONTEXT)))
+        right = F.array_join(F.slice("_heads", 2 * i + 3, near), "")
+        start = F.get("_upto", 2 * i) + F.length(head) + 1
+        return F.struct(value.alias("finding"), start.cast("int").alias("start"), F.right(left, F.lit(CONTEXT)).alias("before"), F.left(right, F.lit(CONTEXT)).alias("after"))
+
+    rows = rows.withColumn("_one", F.explode(F.transform("_found", one)))
+    kept = [column for name, column in own.items() if name.lower() not in new and name != text]
+    source = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")).alias("path")
+    return rows.select(*kept, *[F.col(f"_one.{c}").alias(c) for c in new[:4]], source)
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -105,7 +119,7 @@ def describe(found: DataFrame) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Findings labelled by form: assigned to a credential's name and hex or mixed, or else a number, a word, an address.
+    """Findings with features and ``label`` by form: assigned to a credential's name and hex or mixed, or else a number, a word, an address.
 
     Rows that neither rule decides have no label.
     """
@@ -113,7 +127,8 @@ def weak_labels(found: DataFrame) -> DataFrame:
     secret = F.col("before").rlike(NAMES + r"\s*[=:]\s*[\"']?$") & x.rlike("[0-9]") & x.rlike("[A-Za-z]")
     number = x.rlike("^[0-9]+$") & ~F.col("before").rlike(NAMES + r"\s*[=:]\s*[\"']?$")
     word = x.rlike("^[A-Za-z]*[0-9]{1,3}$") & ~F.col("before").rlike(r"[=:]\s*[\"']?$")
-    return found.withColumn("label", F.when(secret, 1.0).when(number | word, 0.0)).filter("label IS NOT NULL")
+    label = F.when(secret, 1.0).when(number | word, 0.0).alias("label")
+    return found.select(*FEATURES, "finding", "before", "start", label).filter("label IS NOT NULL")
 
 
 def train_forest(labelled: DataFrame, most_rows: int = 20_000, trees: int = 20, depth: int = 6) -> RandomForestClassificationModel | None:
@@ -129,7 +144,8 @@ def train_forest(labelled: DataFrame, most_rows: int = 20_000, trees: int = 20,
     for value, n in counts.items():
         share = F.when(F.col("label") == value, min(1.0, most_rows / 2 / n)).otherwise(share)
     mark = F.pmod(F.xxhash64("finding", "before", "start"), F.lit(1 << 20))
-    sample = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(labelled.filter(mark < share * (1 << 20)))
+    chosen = labelled.select(*FEATURES, "label", "finding", "before", "start").filter(mark < share * (1 << 20))
+    sample = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(chosen)
     return RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=trees, maxDepth=depth, seed=7).fit(sample.select("v", "label"))
 
 
@@ -139,11 +155,15 @@ def scan_secrets(docs: DataFrame, text: str = "text", path: str = "source", labe
     ``labelled`` holds described findings with a ``label`` of 0 or 1; without it ``weak_labels`` of the documents'
     own findings are taken.  If they are not of both kinds, ``p_secret`` is null and every candidate is kept
     as a secret, as nothing is known to remove.  Findings are checkpointed, as they are read three times.
+    Input columns named as results or features (``finding``, ``f_length``, ``secret`` and so on) are replaced, all others come back
+    whatever their names.  Without documents there are no rows.
     """
     found = cut_lineage(describe(candidates(docs, text, path)))
     forest = train_forest(weak_labels(found) if labelled is None else labelled)
+    own = [F.col(f"_found.`{c}`") for c in found.columns if c.lower() not in ("p_secret", "secret")]
+    packed = found.select(F.struct("*").alias("_found"), *FEATURES)
     if forest is None:
-        return found.withColumn("p_secret", F.lit(None).cast("double")).withColumn("secret", F.lit(True))
-    scored = forest.transform(VectorAssembler(inputCols=FEATURES, outputCol="v").transform(found))
+        return packed.select(*own, F.lit(None).cast("double").alias("p_secret"), F.lit(True).alias("secret"))
+    scored = forest.transform(VectorAssembler(inputCols=FEATURES, outputCol="v").transform(packed))
     p = F.round(vector_to_array("probability")[1], 6)
-    return scored.withColumn("p_secret", p).withColumn("secret", p >= threshold).drop("v", "rawPrediction", "probability", "prediction")
+    return scored.select(*own, p.alias("p_secret"), (p >= threshold).alias("secret"))

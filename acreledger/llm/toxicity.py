@@ -50,7 +50,7 @@ def feature_counts(text: str, wanted: dict[str, int] | None = None) -> Counter:
 def _dense(text: str | None, wanted: dict[str, int]) -> np.ndarray:
     row = np.zeros(len(wanted))
     for k, n in feature_counts(text or "", wanted).items():
-        row[k] = np.log1p(min(n, 20))
+        row[k] = np.log1p(n)
     return row
 
 
@@ -132,12 +132,12 @@ def train_chain(
     most_features: int = 800,
     folds: int = 3,
     penalty: float = 0.003,
-    steps: int = 15,
+    steps: int = 100,
 ) -> Chain:
     """Fits the chain on rows with ``key``, ``text`` and a 0/1 column per category.
 
     More than ``most_rows`` rows are thinned to about that many by a hash of the key; that is the documented
-    bound of the training sample, and rows are whole.  Rows with a null category are left out.  Folds
+    bound of the training sample, and rows are whole.  A fit ends at the solver's tolerance; ``steps`` bounds those that have none.  Rows with a null category are left out.  Folds
     follow the same hash, so copies of a key share one.
     """
     rows = labelled.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).cast("double").alias(c) for c in categories])

@@ -25,11 +25,7 @@ from pyspark.sql import functions as F
 
 from acreledger.session import cut_lineage
 
-from .common import replace_columns
-
 CHUNK = 1 << 20
-#: A header block larger than this is taken for a damaged archive.
-MOST_HEADER = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 
@@ -84,10 +80,12 @@ def with_revisits(pages: DataFrame, key: str = "page_id", html: str = "html", mi
 
     Among equal payloads of at least ``min_bytes`` the row with the largest key is the response; rows that
     tie for it are all responses, and so are rows whose payload has no key at all.  Null is an empty payload.
-    Copies are counted before the shuffle; only digests that occur twice are joined back.
+    Copies are counted before the shuffle; only digests that occur twice are joined back.  Input columns with working
+    names (``_sha1``, ``_first``, ``_digest``, ``_k``, ``_n``) give way.
     """
     body = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
-    marked = replace_columns(pages, _sha1=F.sha1(body))
+    pages = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("_sha1", "_first", "_digest", "_k", "_n")])
+    marked = pages.withColumn("_sha1", F.sha1(body))
     long = pages.filter(F.length(body) >= min_bytes).select(F.sha1(body).alias("_digest"), F.col(key).alias("_k"))
     firsts = long.groupBy("_digest").agg(F.max("_k").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     joined = marked.join(firsts, F.col("_sha1") == F.col("_digest"), "left")
@@ -120,28 +118,28 @@ class _Inflated:
     """A gzip file (of one member or many) as a stream of plain bytes, inflated once."""
 
     def __init__(self, stream):
-        self.stream, self.unzip, self.buffer, self.done = stream, zlib.decompressobj(31), bytearray(), False
+        self.stream, self.unzip, self.buffer, self.begun = stream, zlib.decompressobj(31), bytearray(), False
 
     def _more(self) -> bool:
         data = self.unzip.unconsumed_tail or self.unzip.unused_data
         if self.unzip.eof:
             data = self.unzip.unused_data.lstrip(b"\0")
-            self.unzip = zlib.decompressobj(31)
+            self.unzip, self.begun = zlib.decompressobj(31), False
         if not data:
             data = self.stream.read(CHUNK)
             if not data:
-                self.done = True
+                if self.begun:
+                    raise ValueError("the archive ends within a gzip member")
                 return False
+        self.begun = True
         self.buffer += self.unzip.decompress(data, CHUNK)
         return True
 
-    def until(self, mark: bytes, most: int) -> bytes | None:
-        """Bytes up to and with ``mark``; None at the end of the stream."""
+    def until(self, mark: bytes) -> bytes | None:
+        """Bytes up to and with ``mark``; None at the end of the stream.  A header is as long as its URL."""
         seen = 0
         while (at := self.buffer.find(mark, seen)) < 0:
             seen = max(0, len(self.buffer) - len(mark) + 1)
-            if len(self.buffer) > most:
-                raise ValueError("no end of a WARC header")
             if not self._more():
                 if self.buffer.strip(b"\r\n"):
                     raise ValueError("the archive ends within a header")
@@ -176,7 +174,7 @@ def normalise_file(path: str, target: str, level: int = 6) -> int:
     out, index, count = _Output(target), _Output(f"{target}.idx"), 0
     with fs.open_input_stream(source, compression=None) as stream:
         plain = _Inflated(stream)
-        while (header := plain.until(b"\r\n\r\n", MOST_HEADER)) is not None:
+        while (header := plain.until(b"\r\n\r\n")) is not None:
             fields, start = fields_of(header.lstrip(b"\r\n")), out.size
             squeeze = zlib.compressobj(level, zlib.DEFLATED, 31)
             out.write(squeeze.compress(header.lstrip(b"\r\n")))
