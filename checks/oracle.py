@@ -12,7 +12,7 @@ from acreledger.functions.text import STATEMENT_REWRITES
 from acreledger.plans.chart import CASH_TYPES
 from acreledger.sources.star import CROP_WORDS, STAGES, URI_PREFIX
 
-from .queries import DISCOUNTS, DOCUMENT_PREFIX, LEVEL, PRICE_YEAR, SHARES, YEAR, YEARS, statement_shops
+from .queries import DISCOUNTS, DOCUMENT_PREFIX, ENTERED, LEVEL, PRICE_YEAR, SHARES, YEAR, YEARS, statement_shops
 
 
 def in_list(values) -> str:
@@ -315,7 +315,7 @@ SELECT * FROM (SELECT commodity_guid, min(guid) AS from_guid, count(*) AS from_g
 FULL JOIN (SELECT commodity_guid, min(guid) AS to_guid, count(*) AS to_guid_found FROM l_accounts WHERE commodity_guid IS NOT NULL AND description LIKE '%Delivered%' GROUP BY 1) t USING (commodity_guid)"""
 
 VIEWS["l_entered"] = """
-SELECT p.from_guid, p.to_guid, CAST(trunc(round(CAST(net_units AS DOUBLE) * b.cash * 100, 2)) AS bigint) AS value_num, CAST(trunc(net_units * 100) AS bigint) AS quantity_num
+SELECT t.num, p.from_guid, p.to_guid, CAST(trunc(round(CAST(net_units AS DOUBLE) * b.cash * 100, 2)) AS bigint) AS value_num, CAST(trunc(net_units * 100) AS bigint) AS quantity_num
 FROM l_tickets t JOIN l_mean_bid b USING (crop) JOIN l_posting p USING (commodity_guid) WHERE p.from_guid IS NOT NULL AND p.to_guid IS NOT NULL"""
 
 VIEWS["l_machine"] = """
@@ -511,7 +511,9 @@ SELECT d.split_action, d.bucket, CAST(coalesce(f.c, 0) AS DOUBLE) / 100 AS amt F
  UNION ALL SELECT 'd' || CAST(doc_id AS varchar), text FROM documents) x"""
     q["statement_file"] = f"SELECT md5({line}) AS line_md5 FROM (SELECT CAST(o_orderkey AS varchar) || ',' || CASE o_orderkey % {len(shops)} {arms} END || 'Sale' AS line FROM orders) x"
     q["sink_csv"] = q["cash_by_source"]
-    q["sink_sheets"] = q["interest_by_payee"]
+    q["sink_sheets"] = f"SELECT 'Totals' AS sheet, NULL AS name, description, NULL AS post_date, amt FROM ({q['interest_by_payee']}) t UNION ALL SELECT 'Detail', name, description, post_date, amt FROM ({q['interest_detail']}) d"
+    q["written_ledger"] = q["account_totals_year"]
+    q["entered_loads"] = f"SELECT num, 'Farmers Coop' AS description, '{ENTERED}.000000' AS enter_date FROM l_entered"
     q["sink_by_crop"] = q["rent_and_yield"]
     q["second_ledger"] = "SELECT 'business' AS books, * FROM (" + totals + " GROUP BY ALL) a UNION ALL SELECT 'personal', * FROM (" + totals + " JOIN l_transactions t ON t.guid = s.tx_guid WHERE t.num LIKE '%7' GROUP BY ALL) b"
     q["machine_file"] = f"SELECT {machine} FROM l_machine GROUP BY 1, 2"

@@ -33,8 +33,10 @@ from acreledger.session import cut_lineage, drop_dir, new_work_dir
 from acreledger.sources import files
 from acreledger.sources.ledger import (
     discount_table,
+    load_ledger,
     normalise_post_date,
     write_csv,
+    write_ledger,
     write_partitioned,
     write_sheets,
 )
@@ -50,6 +52,7 @@ DISCOUNTS = {"Assets": 80, "Liabilities": 100, "Cash": 70, "Grain": 70}
 LOAD_LABELS = {"CORN": "ring", "BEANS": "widget"}
 LOAD_PREFIX = "LOADS"
 DOCUMENT_PREFIX = "SCAN_7_"
+ENTERED = "2024-06-01 12:00:00"
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -685,9 +688,9 @@ def load_tickets(ledger):
     return loads.tickets(ledger.loads, LOAD_LABELS).withColumn("post_date", F.to_date("post_date"))
 
 
-def _priced(ledger, existing=None):
+def _priced(ledger, existing=None, now=None):
     rows = loads.load_transactions(
-        ledger.loads, _bids(ledger), _posting(ledger), existing, "Farmers Coop", LOAD_LABELS
+        ledger.loads, _bids(ledger), _posting(ledger), existing, "Farmers Coop", LOAD_LABELS, now
     )
     return rows.where(F.col("cash").isNotNull() & F.col("from_guid").isNotNull() & F.col("to_guid").isNotNull())
 
@@ -700,6 +703,13 @@ def double_entry(ledger):
     )
 
 
+@query
+def entered_loads(ledger):
+    """Transactions of loads with the time of entry, here that of a stopped clock"""
+    records = loads.load_records(_priced(ledger, now=F.lit(ENTERED).cast("timestamp")), ledger.notes, URI_PREFIX)
+    return records.transactions.select("num", "description", stamp("enter_date"))
+
+
 @query
 def link_slots(ledger):
     """Document links for transactions titled after their ticket"""
@@ -789,10 +799,22 @@ def sink_csv(spark, folder):
 
 @table_query
 def sink_sheets(spark, folder):
-    """SK4: the sheets of the interest report, one folder each"""
+    """SK4: the sheets of the interest report, one folder each, both read back"""
     work = new_work_dir(spark, "sheets")
-    write_sheets(tax.interest_payments(star_ledger(spark, folder), YEAR, "%rEd%"), work)
-    result = cut_lineage(spark.read.parquet(f"{work}/Totals"))
+    sheets = tax.interest_payments(star_ledger(spark, folder), YEAR, "%rEd%")
+    write_sheets(sheets, work)
+    read = [spark.read.parquet(f"{work}/{name}").withColumn("sheet", F.lit(name)) for name in sheets]
+    result = cut_lineage(read[0].unionByName(read[1], allowMissingColumns=True))
+    drop_dir(spark, work)
+    return result
+
+
+@table_query
+def written_ledger(spark, folder):
+    """SC1 F1 S7: a ledger written in year folders and read with its declared types, one year of it"""
+    work = new_work_dir(spark, "books")
+    write_ledger(star_ledger(spark, folder), work, ["accounts", "transactions", "splits"])
+    result = cut_lineage(splits.account_totals(load_ledger(spark, work), YEAR))
     drop_dir(spark, work)
     return result
 
@@ -878,9 +900,7 @@ def nearest_moments(ledger):
         F.max("value_num").alias("largest"), F.min("tie").alias("tie")
     )
     facts = legs.select("guid", "account_type", F.col("reconcile_date").alias("at"))
-    return asof.nearest(
-        facts, points, "account_type", "at", "largest", "tie", bucket=F.trunc(F.to_date("at"), "month")
-    ).select("guid", F.to_date("near_time").alias("near_time"), "near_largest")
+    return asof.nearest(facts, points, "account_type", "at", "largest", "tie").select("guid", F.to_date("near_time").alias("near_time"), "near_largest")
 
 
 # --- streams -------------------------------------------------------------------
