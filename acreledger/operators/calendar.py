@@ -61,8 +61,10 @@ def exact_median(df: DataFrame, value: str, group: list[str] | None = None, buck
     and ranked.  Counts combine before each shuffle, so neither a large group nor a value that fills half
     of it comes to one task; three passes of 4096 buckets part 7*10^10 values, whatever outliers there are.
     """
-    names = [f"_g{i}" for i in range(len(group or []))]
-    rows = df.where(F.col(value).isNotNull()).select(*[F.col(g).alias(n) for g, n in zip(group or [], names)], F.col(value).alias("_v"))
+    # without a group all rows share an empty text, made from the value so that joins on it stay joins on a key
+    parts = [F.col(g) for g in group or []] or [F.substring(F.col(value).cast("string"), 1, 0)]
+    names = [f"_g{i}" for i in range(len(parts))]
+    rows = df.where(F.col(value).isNotNull()).select(*[p.alias(n) for p, n in zip(parts, names)], F.col(value).alias("_v"))
     rows = rows.withColumns({"_base": F.lit(0).cast("bigint"), "_path": F.lit("")})
     keys = [*names, "_path"]
 
@@ -94,7 +96,8 @@ def exact_median(df: DataFrame, value: str, group: list[str] | None = None, buck
     ranked = started.alias("c").join(sizes.alias("n"), same("c", "n", names)).select("c.*", "_n")
     holds = lambda rank: (F.col("_start") <= rank) & (F.col("_start") + F.col("_c") > rank)
     ends = [F.max(F.when(holds(rank), F.col("_v").cast("double"))) for rank in (low, high)]
-    return ranked.groupBy(*names).agg((ends[0] / 2 + ends[1] / 2).alias("median")).withColumnsRenamed(dict(zip(names, group or [])))
+    medians = ranked.groupBy(*names).agg((ends[0] / 2 + ends[1] / 2).alias("median"))
+    return medians.withColumnsRenamed(dict(zip(names, group))) if group else medians.drop(*names)
 
 
 def summary_statistics(df: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
@@ -109,8 +112,9 @@ def summary_statistics(df: DataFrame, value: str, group: list[str] | None = None
     )
     medians = exact_median(df, value, group).withColumnsRenamed({g: f"_{g}" for g in group})
     if not group:
-        # one row each; an empty table has no median
-        return sums.withColumn("_one", F.lit(1)).join(medians.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+        # one row each, put together; an empty table has no median
+        both = sums.unionByName(medians, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in ("count", "mean", "min", "max", "median", "sum")])
     hit = F.lit(True)
     for g in group:
         hit = hit & F.col(g).eqNullSafe(F.col(f"_{g}"))
