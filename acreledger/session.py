@@ -25,6 +25,8 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # a checkpoint goes once nothing refers to it any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **({"spark.sql.shuffle.partitions": partitions} if partitions else {}),
         **conf,
     }
