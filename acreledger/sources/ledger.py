@@ -52,6 +52,23 @@ def load_ledger(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     return Ledger(read)
 
 
+def by_text(spark: SparkSession, ledger: Ledger, text: str, tables: list[str], **values) -> DataFrame:
+    """SC3/SC4: a query as text over tables of the ledger; values are parameters, never text.
+
+    Tables are named in braces (``{splits}``) and resolved to the ledger's DataFrames, so nothing is registered and
+    several ledgers can be queried side by side.  Values are named markers (``:year``); Spark binds them as
+    literals after the text is parsed, so what they hold cannot become part of the query.
+    """
+    return spark.sql(text, args=values, **{name: ledger.table(name) for name in tables})
+
+
+def rows_with(df: DataFrame, column: str, value) -> DataFrame:
+    """SC4: rows whose ``column`` equals a value; the caller names the column, which must be one of the table's."""
+    if column not in df.columns:
+        raise ValueError(f"no column {column!r}; there are {', '.join(df.columns)}")
+    return df.where(df[f"`{column}`"].eqNullSafe(F.lit(value)))
+
+
 def declared(df: DataFrame, schema: str, zone: str | None = None) -> DataFrame:
     """Columns of a table cast to their declared types; what does not fit becomes null.
 

@@ -29,6 +29,14 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(place)) if fs.exists(place) else []
 
 
+def listing(spark: SparkSession, folder: str) -> str:
+    """Files of a folder with their sizes and times, as one text; hidden files are left out."""
+    fs, place = _open(spark, folder)
+    found = fs.listStatus(place) if fs.exists(place) else []
+    lines = [(x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in found]
+    return json.dumps(sorted(line for line in lines if line[0][0] not in "._"))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, place = _open(spark, path)
     fs.delete(place, True)

@@ -369,6 +369,10 @@ def oracles() -> dict[str, str]:
  || E'\\nDate_in_Service = ' || CAST(p_size % 6 + 1994 AS varchar) || E'-12-27T08:00:00-06:00\\n' END AS account_notes
 FROM l_crops c LEFT JOIN part p ON c.guid = 'p' || CAST(p.p_partkey AS varchar)"""
     q["accounts_by_term"] = "SELECT commodity_guid, guid FROM l_paths WHERE name LIKE '%PROMO%' OR name LIKE '%red%' OR parent_accounts LIKE '%PROMO%' OR parent_accounts LIKE '%red%'"
+    q["accounts_below_term"] = q["accounts_by_term"]
+    q["subtree_totals"] = """WITH own AS (SELECT account_guid AS guid, sum(value_num) AS v FROM l_splits GROUP BY 1), below AS (SELECT anc, guid FROM l_anc UNION ALL SELECT guid, guid FROM l_accounts)
+SELECT b.anc AS guid, CAST(coalesce(sum(o.v), 0) AS bigint) AS total FROM below b LEFT JOIN own o ON o.guid = b.guid GROUP BY 1"""
+    q["transactions_by_text"] = f"SELECT s.guid AS split_guid, a.name AS account_name, s.value_num, CAST(t.post_date AS date) AS post_date FROM l_splits s JOIN l_accounts a ON a.guid = s.account_guid JOIN l_transactions t ON t.guid = s.tx_guid WHERE year(t.post_date) = {YEAR} AND s.value_num < 0"
     q["accounts_of_type"] = f"SELECT guid FROM l_accounts WHERE account_type IN {CASH}"
     q["all_transactions"] = """SELECT s.guid AS split_guid, s.tx_guid, a.name AS account_name, a.code AS account_code, a.description AS account_desc, t.num AS tx_num, t.description,
  CAST(t.post_date AS date) AS post_date, s.action AS split_action, s.memo, CAST(s.value_num AS DOUBLE) / 100 AS amt, CAST(s.quantity_num AS DOUBLE) / 100 AS qty
@@ -405,6 +409,7 @@ SELECT a AS "Account", CAST(round(CAST(v AS DECIMAL(38,6)), 2) AS DOUBLE) AS "Am
 UNION ALL SELECT account_code, NULL, year, 'Total', make_date({YEAR}, 12, 31), NULL, NULL, CAST(sum(amt_c) AS DOUBLE) / 100, 'total' FROM l_farm WHERE year = {YEAR} GROUP BY account_code, year"""
     run = lambda c: f"CAST(sum({c}) OVER (PARTITION BY category ORDER BY year) AS DOUBLE) / 100"
     q["running_position"] = f"SELECT category, year, CAST(amt_c AS DOUBLE) / 100 AS amt, CAST(qty_c AS DOUBLE) / 100 AS qty, {run('amt_c')} AS closing_amt, {run('qty_c')} AS closing_qty FROM l_yearly"
+    q["closing_positions"] = q["running_position"]
     q["balance_details"] = f"SELECT category AS balance_sheet_category, account_guid, {money('sum(amt_c)')} AS amt, {money('sum(qty_c)')} AS qty, count(*) AS row_count FROM l_categories WHERE year(post_date) <= {YEAR} GROUP BY 1, 2"
     q["balance_sheet"] = "SELECT balance_sheet_category, CAST(amt_4 AS DOUBLE) / 10000 AS amt, CAST(qty_c AS DOUBLE) / 100 AS qty FROM l_sheet"
     pct = " ".join(f"WHEN '{k}' THEN {v}" for k, v in DISCOUNTS.items())
@@ -522,6 +527,7 @@ SELECT d.split_action, d.bucket, CAST(coalesce(f.c, 0) AS DOUBLE) / 100 AS amt F
     ticket = "ltrim(lpad(CAST(doc_id AS varchar), 9, '0') || '.pdf', '0')"
     q["document_tickets"] = f"SELECT '/in/box/' || {name} AS path, {ticket} AS ticket, 'Scale Ticket ' || {ticket} AS title FROM documents"
     q["post_date_text"] = "SELECT guid, CASE WHEN num NOT LIKE '%7' THEN strftime(CAST(post_date AS date), '%Y-%m-%d 00:00:00') END AS post_date FROM l_transactions"
+    q["post_date_update"] = f"SELECT guid, CASE WHEN num NOT LIKE '%7' OR year(post_date) <> {YEAR} THEN strftime(CAST(post_date AS date), '%Y-%m-%d 00:00:00') END AS post_date, CAST(year(post_date) AS integer) AS post_year FROM l_transactions"
     q["nearest_moments"] = """WITH legs AS (SELECT s.guid, a.account_type, s.reconcile_date AS moment, t.post_date, s.value_num FROM l_splits s JOIN l_accounts a ON a.guid = s.account_guid AND a.guid LIKE 'c%' JOIN l_transactions t ON t.guid = s.tx_guid),
  pts AS (SELECT account_type, post_date AS moment, max(value_num) AS largest FROM legs GROUP BY 1, 2),
  f AS (SELECT guid, account_type, moment FROM legs),

@@ -15,10 +15,11 @@ from pyspark.sql.types import DecimalType
 
 from acreledger import Ledger
 from acreledger.functions import expr, text
-from acreledger.operators import asof, calendar, entries, keys, reshape, schedule, splits, sums, tree
+from acreledger.operators import asof, calendar, entries, keys, reshape, schedule, splits, sums, tour, tree
 from acreledger.plans import (
     cash,
     chart,
+    closing,
     depreciation,
     invoices,
     loads,
@@ -30,8 +31,9 @@ from acreledger.plans import (
     tax,
 )
 from acreledger.session import cut_lineage, drop_dir, new_work_dir
-from acreledger.sources import files
+from acreledger.sources import files, update
 from acreledger.sources.ledger import (
+    by_text,
     discount_table,
     load_ledger,
     normalise_post_date,
@@ -133,6 +135,20 @@ def accounts_by_term(ledger):
     return tree.accounts_matching(tree.with_paths(ledger.accounts, LEVEL), "PROMO|red")
 
 
+@query
+def accounts_below_term(ledger):
+    """X3 by intervals: accounts with a term in their name, and all below them"""
+    hit = F.col("name").contains("PROMO") | F.col("name").contains("red")
+    return tour.accounts_below(ledger.accounts, hit).select("commodity_guid", "guid")
+
+
+@query
+def subtree_totals(ledger):
+    """Value booked on each account and all below it, in hundredths"""
+    amounts = ledger.splits.select(F.col("account_guid").alias("guid"), "value_num")
+    return tour.subtree_totals(ledger.accounts, amounts, "value_num")
+
+
 @query
 def accounts_of_type(ledger):
     """R6 F3"""
@@ -151,6 +167,17 @@ def all_transactions(ledger):
     )
 
 
+@query
+def transactions_by_text(ledger):
+    """SC3 SC4: splits of a year and a sign as a query text with parameters"""
+    text = """SELECT s.guid AS split_guid, a.name AS account_name, s.value_num, to_date(t.post_date) AS post_date
+        FROM {splits} s JOIN {accounts} a ON a.guid = s.account_guid JOIN {transactions} t ON t.guid = s.tx_guid
+        WHERE t.post_date >= make_timestamp(:year, 1, 1, 0, 0, 0) AND t.post_date < make_timestamp(:year + 1, 1, 1, 0, 0, 0)
+        AND s.value_num < :below"""
+    tables = ["splits", "accounts", "transactions"]
+    return by_text(ledger.splits.sparkSession, ledger, text, tables, year=YEAR, below=0)
+
+
 @query
 def counter_splits(ledger):
     """J2 inverse, summed per source account and type of the other side"""
@@ -293,6 +320,27 @@ def running_position(ledger):
     return position.running_positions(position.category_positions(ledger))
 
 
+@table_query
+def closing_positions(spark, folder):
+    """W5 W6 R10 SK5: closing balances over stored yearly sums; one year's splits are put right, and it is summed again"""
+    work = new_work_dir(spark, "closings")
+    books, path = f"{work}/books", f"{work}/closings"
+    ledger = star_ledger(spark, folder)
+    this_year = splits.transaction_heads(ledger, [YEAR]).select("tx_guid", F.lit(1).alias("off"))
+    draft = ledger.splits.join(this_year, "tx_guid", "left").withColumn("value_num", F.col("value_num") + F.coalesce("off", F.lit(0)))
+    tables = {"accounts": ledger.accounts, "transactions": ledger.transactions, "splits": draft.select(*ledger.splits.columns)}
+    write_ledger(Ledger(tables), books, list(tables))
+    closing.renew_closings(spark, books, path)
+    right = load_ledger(spark, books).splits.where(F.col("post_year") == YEAR).withColumn("value_num", F.col("value_num") - 1)
+    update.update_in_place(spark, f"{books}/splits", right, "guid", "post_year")
+    renewed = closing.renew_closings(spark, books, path)
+    if renewed != [YEAR]:
+        raise ValueError(f"sums renewed for {renewed}")
+    result = cut_lineage(position.running_positions(closing.stored_positions(spark, path)))
+    drop_dir(spark, work)
+    return result
+
+
 @query
 def balance_details(ledger):
     """R8 R10 U-2: detail rows of all categories, summed per account"""
@@ -888,6 +936,23 @@ def post_date_text(ledger):
     return normalise_post_date(raw)
 
 
+@table_query
+def post_date_update(spark, folder):
+    """SK5 S7: text dates of one year made canonical in a written table, in place; other years are left as they are"""
+    work = new_work_dir(spark, "dates")
+    day = F.date_format("post_date", "yyyy-MM-dd")
+    sloppy = F.when(F.col("num").endswith("7"), F.lit("not a date")).otherwise(day)
+    dated = star_ledger(spark, folder).transactions.withColumn("post_year", F.year("post_date"))
+    text = F.when(F.col("post_year") == YEAR, sloppy).otherwise(F.concat(day, F.lit(" 00:00:00")))
+    update.overwrite_folders(dated.select("guid", text.alias("post_date"), "post_year"), f"{work}/tx", "post_year")
+    before = spark.read.parquet(f"{work}/tx")
+    fixed = normalise_post_date(before.where(F.col("post_year") == YEAR))
+    update.update_in_place(spark, f"{work}/tx", fixed, "guid", "post_year")
+    result = cut_lineage(spark.read.parquet(f"{work}/tx"))
+    drop_dir(spark, work)
+    return result
+
+
 @query
 def nearest_moments(ledger):
     """J13 on postings: nearest posting of the same customer type for each shipment"""
