@@ -127,3 +127,16 @@ def test_rational_is_exact_for_fine_denominators(spark):
 
     got = [r[0] for r in df.select(expr.rational("n", "d")).collect()]
     assert got == [None if d == 0 else Decimal(n) / Decimal(d) for n, d in rows]
+
+
+def test_subtotals_from_one_pass(spark):
+    rows = [("a", "x", 1), ("a", "x", 1), ("a", None, None), (None, "y", 5), ("b", None, None)]
+    df = spark.createDataFrame(rows, "k string, t string, v bigint")
+    both = reshape.detail_with_totals(df, ["k"], ["v"])
+    assert values(both.where("row_kind = 'detail'"), "k", "t", "v") == sorted(rows, key=lambda t: [(v is None, str(v)) for v in t])
+    totals = [("a", None, 2), ("b", None, 0), (None, None, 5)]
+    assert values(both.where("row_kind = 'total'"), "k", "t", "v") == sorted(totals, key=lambda t: [(v is None, str(v)) for v in t])
+    assert reshape.detail_with_totals(df.limit(0), ["k"], ["v"]).count() == 0
+    plan = reshape.detail_with_totals(spark.range(9).selectExpr("id % 2 AS k", "id AS v"), ["k"], ["v"])
+    plan = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1 and "Union" not in plan
