@@ -105,18 +105,16 @@ def accounts_below(
 
     Every hit opens its interval and closes it again; an account is below one where more are open than
     closed.  That is a running sum over the tour, whatever the depth and however many accounts hit.
+    Accounts on or below a cycle are found by their own hit only.
     """
     places = cut_lineage(tour(accounts, per_range)) if places is None else places
     rows = accounts.withColumn("_hit", F.coalesce(hit, F.lit(False)))
     opened = F.col("_hit").cast("bigint")
     steps = _marked_steps(places.join(rows.select("guid", "_hit"), "guid"), opened, -opened)
     open_ = running_total(steps, ["at"], F.col("amount"), "open", per_range)
-    inside = open_.where(F.col("first") & (F.col("open") > 0)).select("guid")
-    own = rows.where(F.col("_hit")).select("guid")
-    under = accounts.select("guid", "parent_guid").join(
-        inside.withColumnRenamed("guid", "parent_guid"), "parent_guid", "left_semi"
-    )
-    return accounts.join(own.unionByName(under.select("guid")).distinct(), "guid", "left_semi")
+    inside = open_.where(F.col("first") & (F.col("open") > 0)).select(F.col("guid").alias("parent_guid"), F.lit(True).alias("_in"))
+    found = rows.join(inside, "parent_guid", "left").where(F.col("_hit") | F.coalesce("_in", F.lit(False)))
+    return found.select(*accounts.columns)
 
 
 def subtree_totals(

@@ -29,11 +29,18 @@ class Ledger:
         return self._built[name]
 
     def remember(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """Keep a derived DataFrame (the enriched accounts) for later reports."""
+        """Keep a derived DataFrame (the enriched accounts) for later reports.
+
+        It may be a checkpoint, so changed books need a new ``Ledger`` or :meth:`forget`.
+        """
         if name not in self._built:
             self._built[name] = make()
         return self._built[name]
 
+    def forget(self) -> None:
+        """Drops what was built, so that tables are opened and derived again."""
+        self._built.clear()
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ledger import Ledger
+from .store import listing
 
 CROP_WORDS = ["ring", "widget", "gear", "bolt", "plate"]
 URI_PREFIX = "notes://open?id="
@@ -429,16 +430,18 @@ class StarLedger:
         )
 
 
-_OPEN: dict[tuple[str, str], Ledger] = {}
+_OPEN: dict[tuple[str, str], tuple[str, Ledger]] = {}
 
 
 def star_ledger(spark: SparkSession, folder: str) -> Ledger:
     """A lazy :class:`Ledger` over the star tables in ``folder``.
 
     Kept per application and folder, so schemas are read and the account tree is
-    walked once, however many reports run.  Only plans are kept, no rows.
+    walked once, however many reports run.  The tree is a checkpoint of the accounts as
+    they were, so it counts only for the files it was made from: a folder whose files have
+    other names, sizes or times is opened anew.
     """
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _OPEN:
-        _OPEN[key] = Ledger(StarLedger(spark, folder))
-    return _OPEN[key]
+    key, files = (spark.sparkContext.applicationId, folder), listing(spark, folder)
+    if key not in _OPEN or _OPEN[key][0] != files:
+        _OPEN[key] = files, Ledger(StarLedger(spark, folder))
+    return _OPEN[key][1]

@@ -78,3 +78,25 @@ def test_declared_types_of_text_tables(spark):
     got = src.declared(rows, "guid string, post_date timestamp, num bigint, description string", "America/Chicago").collect()
     assert [str(r["post_date"]) for r in got] == ["2020-01-05 16:59:00", "None", "None"]
     assert [r["num"] for r in got] == [7, None, None] and all(r["description"] is None for r in got)
+
+
+def test_changed_star_tables_are_seen(spark, tmp_path):
+    import shutil
+
+    from acreledger.operators.tree import with_paths
+    from acreledger.sources.star import star_ledger
+
+    folder = tmp_path / "star"
+    folder.mkdir()
+    for name in "region nation customer supplier part".split():
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", folder)
+    ledger = star_ledger(spark, str(folder))
+    tops = lambda books: {r[0] for r in with_paths(books.accounts).where("guid LIKE 'n%'").select("parent_accounts").collect()}
+    before = tops(ledger)
+    assert star_ledger(spark, str(folder)) is ledger
+    region = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
+    spark.createDataFrame([(r[0], r[1] + " NEW", *r[2:]) for r in region.collect()], region.schema).coalesce(1).write.parquet(str(tmp_path / "new"))
+    (folder / "region.parquet").unlink()
+    shutil.copytree(tmp_path / "new", folder / "region.parquet")
+    assert tops(star_ledger(spark, str(folder))) == {p.replace(">", " NEW>") for p in before}
+    ledger.forget()
