@@ -1,7 +1,8 @@
+import math
 import random
 
-from acreledger.llm.secrets import candidates, describe, scan_secrets
-from acreledger.llm.toxicity import CATEGORIES, apply_chain, judge_toxicity, labelled_documents, train_chain
+from acreledger.llm.secrets import FEATURES, candidates, describe, held_out_counts, pair_scores, scan_secrets, table_words
+from acreledger.llm.toxicity import CATEGORIES, apply_chain, held_out_rates, judge_toxicity, labelled_documents, learn_kinds, train_chain
 
 from .helpers import ROWS, awkward, empty
 
@@ -22,14 +23,21 @@ def test_held_out_accuracy_of_the_chain(spark):
     rows = corpus(random.Random(1), 900)
     docs = spark.createDataFrame([r[:4] for r in rows], "doc_id long, text string, lang string, source string")
     labels = spark.createDataFrame([(r[0], r[4]) for r in rows if r[0] % 3] + [(None, 1), (1, None)], "doc_id long, toxic int")
-    chain = train_chain(labelled_documents(docs, labels), CATEGORIES, steps=15)
+    kinds = learn_kinds(labelled_documents(docs, labels)).collect()
+    assert all(r["kind_1"] + r["kind_2"] == r["toxic"] for r in kinds) and len(kinds) == 600
+    first = next(iter({r["kind_1"] for r in kinds if r["doc_id"] % 10 == 5}))
+    assert {(r["doc_id"] % 10 == 5, r["kind_1"]) for r in kinds if r["toxic"]} == {(True, first), (False, 1 - first)}  # found without a word list
+    chain = train_chain(learn_kinds(labelled_documents(docs, labels)), CATEGORIES, steps=15)
     assert [len(w) - len(chain.features) for w, _ in chain.models] == [0, 1, 2]  # later models see earlier ones
     found = {r["doc_id"]: r for r in apply_chain(docs, chain).collect()}
     held = [r for r in rows if r[0] % 3 == 0]
     assert sum((found[r[0]]["p_toxic"] >= 0.5) == bool(r[4]) for r in held) >= 0.99 * len(held)
     for r in held:
         if r[4]:
-            assert (found[r[0]]["p_insult"] > found[r[0]]["p_other"]) == bool(r[0] % 2)
+            assert (found[r[0]]["p_kind_1"] > found[r[0]]["p_kind_2"]) == (bool(r[0] % 2) == bool(first))
+    rates = {(r["lang"], r["kind"]): (r["n"], r["toxic_found"]) for r in held_out_rates(docs, labels).collect()}
+    assert sum(n for n, _ in rates.values()) > 60 and rates["en", 0][1] <= 1
+    assert all(found == n for (_, kind), (n, found) in rates.items() if kind)
     again = apply_chain(awkward(spark, clashes=True), chain)
     assert again.count() == len(ROWS) and again.filter("p_toxic IS NULL").count() == 0
     assert apply_chain(empty(spark), chain).count() == 0
@@ -51,7 +59,7 @@ def test_candidates_have_their_places(spark):
     assert [(r["doc_id"], r["finding"]) for r in found] == [(30, "AAAA1111bbbb2222"), (30, "AAAA1111bbbb2222"), (30, "1234567890123456-7")]
     assert all(text[r["start"] - 1 : r["start"] - 1 + len(r["finding"])] == r["finding"] for r in found)
     assert found[0]["before"].endswith("= '") and found[0]["after"].startswith("'") and found[0]["path"] == "a/test.py"
-    assert describe(candidates(empty(spark))).count() == 0
+    assert describe(candidates(empty(spark)), table_words(empty(spark))).count() == 0
 
 
 def test_forest_tells_secrets_from_numbers(spark):
@@ -82,6 +90,38 @@ def test_short_and_odd_values_are_candidates(spark):
         47: ("Authorization: Bearer abcdef there", "abcdef"),
     }
     docs = awkward(spark, [(i, text, "en", "a") for i, (text, _) in texts.items()])
-    found = describe(candidates(docs)).collect()
+    found = describe(candidates(docs), table_words(docs)).collect()
     assert {r["doc_id"]: r["finding"] for r in found} == {i: value for i, (_, value) in texts.items()} and len(found) == len(texts)
     assert all(texts[r["doc_id"]][0][r["start"] - 1 :].startswith(r["finding"]) for r in found)
+
+
+def test_dictionary_and_letter_pairs_come_from_the_table(spark):
+    rows = [(i, "the stone Stone near_by x12 stone", "en", "a") for i in range(3)] + [(9, "rare " + "z" * 30, "en", "a"), (10, None, "en", "a")]
+    docs = awkward(spark, rows)
+    words = table_words(docs)
+    assert {(r["word"], r["docs"]) for r in words.collect()} == {("the", 3), ("stone", 3)}
+    scores = pair_scores(words)
+    place = lambda pair: 26 * (ord(pair[0]) - 97) + ord(pair[1]) - 97
+    assert len(scores) == 676 and abs(scores[place("st")] - math.log(4 / 29)) < 1e-12 and abs(scores[place("qz")] - math.log(1 / 26)) < 1e-12
+    found = describe(candidates(awkward(spark, [(1, "key stoneQx7 there", "en", "a")])), words).first()
+    usual = [scores[place(p)] for p in ("st", "to", "on", "ne", "eq", "qx")]
+    assert abs(found["f_cover"] - 5 / 7) < 1e-12 and abs(found["f_bigrams"] - sum(usual) / 6) < 1e-9
+
+
+def test_held_out_findings_and_clashing_columns(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        hexes = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        number = "".join(rng.choice("0123456789") for _ in range(rng.choice([4, 16])))
+        rows.append((i, f'so the token = "{hexes}" was read' if i % 3 == 0 else f"card {number} paid by mail{i % 7} here", "en", "src"))
+    docs = awkward(spark, rows, clashes=True)
+    for name in ("_row", "_known", "_found", "_usual", "word", "docs", "v", "probability", "label", "f_length", "secret"):
+        docs = docs.selectExpr("*", f"'own' AS {name}")
+    found = describe(candidates(docs), table_words(docs))
+    counts = {(r["label"], r["secret"]): r["n"] for r in held_out_counts(found).collect()}
+    assert set(counts) == {(1.0, True), (0.0, False)}
+    scanned = scan_secrets(docs)
+    assert {c.lower() for c in docs.columns} - {"text"} <= set(scanned.columns) and set(FEATURES) <= set(scanned.columns)
+    assert {r["_row"] for r in scanned.collect()} == {"own"}
+    assert {r["doc_id"] for r in scanned.filter("secret").collect()} == {i for i in range(300) if i % 3 == 0}
