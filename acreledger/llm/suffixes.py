@@ -159,12 +159,9 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 
 def words_at(data: np.ndarray) -> np.ndarray:
     """The eight bytes that begin at each position, as one integer (zeros beyond the end)."""
-    x = np.zeros(len(data) + 8, dtype=np.uint64)
-    x[: len(data)] = data
-    x[:-1] |= x[1:] << np.uint64(8)
-    x[:-2] |= x[2:] << np.uint64(16)
-    x[:-4] |= x[4:] << np.uint64(32)
-    return x
+    padded = np.zeros(len(data) + 15, dtype=np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 8, dtype="<u8", buffer=padded, strides=(1,)).astype(np.uint64)
 
 
 def permuted_lcp(data: np.ndarray, sa: np.ndarray) -> np.ndarray:

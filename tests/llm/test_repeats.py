@@ -1,9 +1,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from acreledger.llm import repeats
+from acreledger.llm.suffixes import suffix_array
 
 from .helpers import ROWS, awkward, empty
 
@@ -62,3 +64,45 @@ def test_text_that_is_kept(spark, tmp_path):
     rows = [(1, "start " + passage), (2, passage + " end"), (3, "x" + passage)]
     found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), f"file://{tmp_path}", with_text=True)
     assert {r["doc_id"]: bytes(r["kept"]).decode() for r in found.collect()} == {1: rows[0][1], 2: " end", 3: "x"}
+
+
+def shard_of(rows, length):
+    """Distinct segments of the texts with their smallest row, their anchors' places and the smallest row of each passage."""
+    data, bounds = np.frombuffer(b"".join(rows), dtype=np.uint8), np.cumsum([0] + [len(r) for r in rows])
+    first, count, _, place = repeats.segments(data, bounds, length)
+    low, anchors, passages = {}, {}, {}
+    for f, n, p in zip(first.tolist(), count.tolist(), place.tolist()):
+        row, t = int(np.searchsorted(bounds, f, side="right")) - 1, data[f : f + n + length - 1].tobytes()
+        low[t], anchors[t] = min(low.get(t, row), row), p - f
+    for t, row in low.items():
+        for i in range(len(t) - length + 1):
+            passages[t[i : i + length]] = min(passages.get(t[i : i + length], row), row)
+    want = [passages[t[i : i + length]] for t in low for i in range(len(t) - length + 1)]
+    return list(low), np.array(list(low.values())), np.array(list(anchors.values())), want
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 4, 40])
+@pytest.mark.parametrize("length", [17, 18, 21, 50])
+def test_minima_of_a_shard(monkeypatch, length, parts):
+    rng = random.Random(length + parts)
+    words = [b"aa", b"b", b"ccc", b"the ", b"zz"]
+    rows = [b"".join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    rows += [rows[7][9:] + rows[3], rows[3], b"a" * 200, b"x" + b"a" * 120, b"ab" * 60]
+    for stretch in (1 << 20, 300):
+        monkeypatch.setattr(repeats, "STRETCH", stretch)
+        monkeypatch.setattr(repeats, "PARTS", parts)
+        texts, low, place, want = shard_of(rows, length)
+        assert repeats.passage_minima(texts, low, place, length).tolist() == want
+
+
+def test_only_passages_that_may_repeat_are_sorted(monkeypatch):
+    rng = random.Random(2)
+    letters = lambda n: bytes(rng.choice(b"abcdefghij") for _ in range(n))
+    common, passage = letters(16), letters(90)
+    rows = [letters(40) + common + letters(40) for _ in range(300)] + [letters(30) + passage, passage + letters(30)]
+    sorted_bytes = []
+    monkeypatch.setattr(repeats, "suffix_array", lambda data: sorted_bytes.append(len(data)) or suffix_array(data))
+    texts, low, place, want = shard_of(rows, 50)
+    assert repeats.passage_minima(texts, low, place, 50).tolist() == want
+    assert sum(map(len, texts)) > 40_000
+    assert sum(sorted_bytes) < 2_000  # a shared piece of 16 bytes is no passage yet
