@@ -46,7 +46,7 @@ def nearest(
     )
     if bucket is None:
         # the place of a row must not change between uses, hence the checkpoint
-        both = cut_lineage(both.repartitionByRange(key, time).withColumn("bucket", F.spark_partition_id()))
+        both = cut_lineage(both.repartitionByRange(key, time).withColumn("bucket", F.spark_partition_id()), free=True)
     else:
         both = both.withColumn("bucket", bucket)
 

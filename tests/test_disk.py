@@ -40,6 +40,14 @@ def left_by(spark, work):
     return shuffle_files(spark) - before
 
 
+def test_texts_come_back_from_bytes(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string").withColumn("b", expr.packed("t"))
+    rows = df.withColumn("back", expr.unpacked("b")).collect()
+    assert [r["back"] for r in rows] == TEXTS
+    assert len({r["b"] for r in rows}) == len(TEXTS)
+    assert [len(r["b"]) for r in rows if r["t"] == "0123456789abcdef" * 2] == [16]
+
+
 def test_freed_checkpoint_leaves_no_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
     assert left_by(spark, lambda: cut_lineage(df, free=True)) == set()
@@ -73,3 +81,10 @@ def test_lines_of_a_load_file_are_taken_from_its_text(spark, tmp_path):
     assert values(rows, "ticket_number", "net_units") == sorted([(i, float(i)) for i in range(300)], key=str)
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "slice(" not in plan and "filter(" not in plan
+
+
+@needs_tables
+def test_nearest_moments_frees_its_first_half_and_carries_bytes(spark):
+    assert left_by(spark, lambda: REGISTRY["nearest_moments"](spark, FOLDER)) == set()
+    plan = REGISTRY["nearest_moments"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex(" in plan
