@@ -88,3 +88,23 @@ def test_nearest_moments_frees_its_first_half_and_carries_bytes(spark):
     assert left_by(spark, lambda: REGISTRY["nearest_moments"](spark, FOLDER)) == set()
     plan = REGISTRY["nearest_moments"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     assert "unhex(" in plan
+
+
+@needs_tables
+def test_closing_positions_leave_no_shuffle(spark):
+    assert left_by(spark, lambda: REGISTRY["closing_positions"](spark, FOLDER)) == set()
+
+
+def test_sums_of_year_folders_equal_those_of_the_whole(spark, ledger_of, tmp_path):
+    day = lambda year: dt.datetime(year, 5, 1)
+    accounts = [{"guid": g, "name": g, "account_type": t} for g, t in (("bank", "BANK"), ("due", "PAYABLE"), ("fuel", "EXPENSE"))]
+    # "b" comes twice with two years; all its splits lie in one folder and count in both years
+    tx = [{"guid": g, "post_date": day(y)} for g, y in (("a", 2019), ("b", 2020), ("b", 2021), ("c", 2021))] + [{"guid": "d"}]
+    legs = [(g, a, v, n) for g in "abcd" for a, v, n in (("bank", -10, 3), ("fuel", 6, 3), ("fuel", 4, 7), ("due", 1, 100))]
+    rows = [{"guid": f"s{i}", "tx_guid": g, "account_guid": a, "value_num": v, "value_denom": n, "quantity_num": v, "quantity_denom": n} for i, (g, a, v, n) in enumerate(legs)]
+    write_ledger(ledger_of(accounts=accounts, splits=rows, transactions=tx), f"{tmp_path}/books", ["accounts", "transactions", "splits"])
+    assert closing.renew_closings(spark, f"{tmp_path}/books", f"{tmp_path}/sums") == [2019, 2020, 2021, None]
+    books = load_ledger(spark, f"{tmp_path}/books")
+    whole = values(position.category_positions(books), "category", "year", "amt", "qty")
+    assert values(closing.stored_positions(spark, f"{tmp_path}/sums"), "category", "year", "amt", "qty") == whole
+    assert {r[1] for r in whole} == {2019, 2020, 2021, None}
