@@ -108,3 +108,13 @@ def test_sums_of_year_folders_equal_those_of_the_whole(spark, ledger_of, tmp_pat
     whole = values(position.category_positions(books), "category", "year", "amt", "qty")
     assert values(closing.stored_positions(spark, f"{tmp_path}/sums"), "category", "year", "amt", "qty") == whole
     assert {r[1] for r in whole} == {2019, 2020, 2021, None}
+
+
+@needs_tables
+def test_guids_are_bytes_and_keys_numbers_in_the_shuffles_of_all_transactions(spark):
+    plan = splits.all_transactions(star_ledger(spark, FOLDER))._jdf.queryExecution().optimizedPlan()
+    lines = plan.toString().split("\n")
+    joins = [i for i, line in enumerate(lines) if "Join Inner" in line]
+    assert any("unhex(" in line for line in lines[joins[0] :])
+    scans = [i for i, line in enumerate(lines) if "l_extendedprice" in line and "Project" in line]
+    assert scans and not any("concat_ws" in lines[i] for i in scans), "texts of a line are made after its join"
