@@ -34,6 +34,7 @@ def splits_with_accounts(
     the same join, instead of a second shuffle of the splits on the account.
     ``heads`` are the wanted transactions; their columns are joined first, so only
     their splits go on.  ``years`` are theirs, for splits kept in year folders.
+    Guids of splits go through the shuffles as bytes, half of what their text takes on disk.
     """
     accounts = ledger.accounts if accounts is None else accounts
     accounts = accounts.select(
@@ -155,6 +156,25 @@ def counter_splits(
     return with_amounts(joined, -1 if inverse else 1, pairs)
 
 
+def in_parts(ledger, parts: int) -> list[Ledger]:
+    """The ledger cut by transactions: each part has all splits and the head of its transactions, and every account.
+
+    What stands against what never crosses a transaction, so the rows of :func:`counter_splits` over a ledger are those
+    over its parts.  Splits and transactions without a guid, which meet nothing, are in none.
+    """
+
+    def part(n: int) -> Ledger:
+        def table(name: str) -> DataFrame:
+            rows = ledger.table(name)
+            if name not in TRANSACTION_KEYS:
+                return rows
+            return rows.where(F.pmod(F.xxhash64(TRANSACTION_KEYS[name]), F.lit(parts)) == n)
+
+        return Ledger(table)
+
+    return [part(n) for n in range(parts)]
+
+
 def source_counts(ledger, types: Sequence[str], years: Sequence[int] | None = None) -> DataFrame:
     """Number of distinct accounts of some types per transaction.
 

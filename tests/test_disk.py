@@ -40,6 +40,10 @@ def left_by(spark, work):
     return shuffle_files(spark) - before
 
 
+TEXTS = [None, "", "a", "00", "0123456789abcdef", "fifteen letters", "sixteen letters!", "0" * 31, "0123456789abcdef" * 2,
+         "0123456789ABCDEF" * 2, "g123456789abcdef" * 2, "0123456789abcdef" * 3, "äöü" * 6, "a\0", "é" * 8]
+
+
 def test_texts_come_back_from_bytes(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS], "t string").withColumn("b", expr.packed("t"))
     rows = df.withColumn("back", expr.unpacked("b")).collect()
@@ -54,6 +58,9 @@ def test_freed_checkpoint_leaves_no_shuffle(spark):
     assert values(cut_lineage(df, free=True)) == values(df)
 
 
+# --- streams -----------------------------------------------------------------
+
+
 def test_state_of_the_ingest_is_on_disk(spark, tmp_path, ledger_of):
     os.makedirs(f"{tmp_path}/in")
     with open(f"{tmp_path}/in/LOADS1.csv", "w") as f:
@@ -83,6 +90,9 @@ def test_lines_of_a_load_file_are_taken_from_its_text(spark, tmp_path):
     assert "slice(" not in plan and "filter(" not in plan
 
 
+# --- reports -----------------------------------------------------------------
+
+
 @needs_tables
 def test_nearest_moments_frees_its_first_half_and_carries_bytes(spark):
     assert left_by(spark, lambda: REGISTRY["nearest_moments"](spark, FOLDER)) == set()
@@ -118,3 +128,15 @@ def test_guids_are_bytes_and_keys_numbers_in_the_shuffles_of_all_transactions(sp
     assert any("unhex(" in line for line in lines[joins[0] :])
     scans = [i for i, line in enumerate(lines) if "l_extendedprice" in line and "Project" in line]
     assert scans and not any("concat_ws" in lines[i] for i in scans), "texts of a line are made after its join"
+
+
+@needs_tables
+def test_counter_splits_of_parts_sum_to_those_of_the_whole(spark):
+    ledger = star_ledger(spark, FOLDER)
+    rows = lambda books: splits.counter_splits(books, CASH_TYPES, pairs=True)
+    total = lambda df: sums.exact_totals(df, ["src_guid", "account_type"], splits.AMOUNTS, {"n": splits.F.lit(1)})
+    whole = values(total(rows(ledger)))
+    assert values(total([rows(part) for part in splits.in_parts(ledger, 3)])) == whole and len(whole) > 100
+    listed = [r for part in splits.in_parts(ledger, 3) for r in values(rows(part), "split_guid", "src_guid")]
+    assert sorted(listed) == values(rows(ledger), "split_guid", "src_guid")
+    assert left_by(spark, lambda: REGISTRY["counter_splits"](spark, FOLDER)) == set()
